@@ -1,45 +1,53 @@
 """Canonical JSON text of a reading, so that equal readings give equal SHA-256 keys.
 
-Numbers are written the way Python writes floats, keys are sorted, there is no white space.
+Keys are sorted, there is no white space, and numbers are written the way Python writes floats.
+Expressions are SQL text, as in ``parsing``.
 """
 
-from pyspark.sql import Column, functions as F
-
 from skyledger.schemas import IDENTITY_FIELDS, MEASURES
 
+# Fields whose text is free; the other text fields hold one of a few plain ids.
+_FREE_TEXT = ("event_timestamp", "comm_status")
+
 
-def float_text(value: Column) -> Column:
+def float_text(value: str) -> str:
     """A double as shortest round-trip text: 0.00012, 1.5e-05, 12345678.0, 1e+16.
 
     Spark writes an exponent below 0.001 and from 1e7; Python does below 0.0001 and from 1e16.
     """
-    text, size = value.cast("string"), F.abs(value)
-    plain = F.regexp_replace(text.try_cast("decimal(38,22)").cast("string"), r"(\.\d+?)0+$", "$1")
-    exponent = F.regexp_replace(text, r"(?:\.0)?E(\d+)$", "e+$1")
-    exponent = F.regexp_replace(exponent, r"(?:\.0)?E-(\d)$", "e-0$1")
-    exponent = F.regexp_replace(exponent, r"(?:\.0)?E-", "e-")
-    return (
-        F.when(~text.contains("E"), text)
-        .when((size >= 1e-4) & (size < 1e16), plain)
-        .otherwise(exponent)
-    )
-
-
-def json_text(value: Column) -> Column:
+    text = f"string({value})"
+    plain = rf"regexp_replace(string(try_cast({text} AS DECIMAL(38,22))), r'(\.\d+?)0+$', '$1')"
+    exponent = rf"regexp_replace({text}, r'(?:\.0)?E(\d+)$', 'e+$1')"
+    exponent = rf"regexp_replace({exponent}, r'(?:\.0)?E-(\d)$', 'e-0$1')"
+    exponent = rf"regexp_replace({exponent}, r'(?:\.0)?E-', 'e-')"
+    return f"""CASE WHEN NOT contains({text}, 'E') THEN {text}
+                    WHEN abs({value}) >= 1e-4 AND abs({value}) < 1e16 THEN {plain}
+                    ELSE {exponent} END"""
+
+
+def json_text(value: str) -> str:
     """A string as a quoted and escaped JSON string."""
-    listed = F.to_json(F.array(value))
-    escaped = F.substring(listed, F.lit(2), F.length(listed) - 2)
-    return F.when(value.rlike(r'["\\\\\x00-\x1f]'), escaped).otherwise(
-        F.concat(F.lit('"'), value, F.lit('"'))
-    )
+    listed = f"to_json(array({value}))"
+    return rf"""CASE WHEN {value} RLIKE r'["\\\x00-\x1f]' THEN substring({listed}, 2, length({listed}) - 2)
+                     ELSE concat('"', {value}, '"') END"""
 
 
-def dedup_key(fields: dict[str, Column]) -> Column:
-    """SHA-256 hex of the canonical JSON over the identity fields."""
+def canonical_json(fields: dict[str, str]) -> str:
+    """Identity fields (SQL text by name) as one JSON object."""
 
     def member(name):
-        value = float_text(fields[name]) if name in MEASURES else json_text(fields[name])
-        return F.concat(F.lit(f'"{name}":'), F.coalesce(value, F.lit("null")))
+        if name in MEASURES:
+            value = float_text(fields[name])
+        elif name in _FREE_TEXT:
+            value = json_text(fields[name])
+        else:
+            value = f"""concat('"', {fields[name]}, '"')"""
+        return f"""concat('"{name}":', coalesce({value}, 'null'))"""
+
+    body = ", ".join(member(name) for name in sorted(IDENTITY_FIELDS))
+    return f"concat('{{', concat_ws(',', {body}), '}}')"
+
 
-    body = F.concat_ws(",", *[member(name) for name in sorted(IDENTITY_FIELDS)])
-    return F.sha2(F.concat(F.lit("{"), body, F.lit("}")), 256)
+def dedup_key(fields: dict[str, str]) -> str:
+    """SHA-256 hex of the canonical JSON."""
+    return f"sha2({canonical_json(fields)}, 256)"

@@ -1,4 +1,7 @@
-"""Text to typed values: UTF-8, numbers and ISO-8601 times. Bad input gives NULL, never an error."""
+"""Text to typed values: UTF-8, numbers and ISO-8601 times. Bad input gives NULL, never an error.
+
+The larger expressions are SQL text: one call builds them, where nested column calls take hundreds.
+"""
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -12,13 +15,12 @@ NUMBER_SHAPE = (
 PLAIN_TIME_SHAPE = r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}:\d{2}(?:\.\d+)?(?:Z|[+-]\d{2}:\d{2})?$"
 
 # Any ISO-8601 form: calendar or week date, extended or basic, any one-character separator.
-# Groups: 1 year, 3 month, 4 day, 5 week, 6 weekday, 7 hour, 9 minute, 10 second, 11 fraction,
-# 12 sign, 13 / 15 / 16 offset hours, minutes, seconds.
 ANY_TIME_SHAPE = (
-    r"(?s)^(\d{4})(-?)(?:(\d{2})\2(\d{2})|W(\d{2})(?:\2([1-7]))?)"
-    r"(?:.(\d{2})(?:(:?)(\d{2})(?:\8(\d{2})(?:[.,](\d+))?)?)?"
-    r"(?:([+-])(\d{2})(?:(:?)(\d{2})(?:\14(\d{2}))?)?)?)?$"
+    r"(?s)^\d{4}(?:-\d{2}-\d{2}|\d{4}|-W\d{2}(?:-[1-7])?|W\d{2}[1-7]?)"
+    r"(?:.\d{2}(?::\d{2}(?::\d{2}(?:[.,]\d+)?)?|\d{2}(?:\d{2}(?:[.,]\d+)?)?)?"
+    r"(?:[+-]\d{2}(?::?\d{2}(?::?\d{2})?)?)?)?$"
 )
+WEEK_DATE = r"^\d{4}-?W(\d{2})-?([1-7]?)"
 
 
 def utf8_text(df: DataFrame, column: str) -> Column:
@@ -29,38 +31,34 @@ def utf8_text(df: DataFrame, column: str) -> Column:
     return value
 
 
-def parse_number(text: Column) -> Column:
-    """Decimal, exponent, inf and nan forms as double; '' and anything else as NULL."""
-    bare = F.btrim(text, F.lit('"'))
-    return F.when(
-        bare.rlike(NUMBER_SHAPE), F.replace(bare, F.lit("_"), F.lit("")).try_cast("double")
-    )
-
+def number(text: str) -> str:
+    """Decimal, exponent, inf and nan forms as double; '' and anything else as NULL.
 
-def parse_time(text: Column) -> Column:
-    """ISO-8601 text as a UTC timestamp; no offset means UTC."""
-    plain = F.when(text.rlike(PLAIN_TIME_SHAPE), F.try_to_timestamp(text))
-    return F.when(~text.startswith("0000"), F.coalesce(plain, _parse_any_time(text)))
+    ``from_json`` keeps the quotes of JSON's bare NaN and Infinity, so outer quotes are taken off.
+    """
+    bare = f"""btrim({text}, '"')"""
+    return f"CASE WHEN {bare} RLIKE r'{NUMBER_SHAPE}' THEN try_cast(replace({bare}, '_', '') AS DOUBLE) END"
 
 
-def _parse_any_time(text: Column) -> Column:
-    zoned = F.replace(text, F.lit("Z"), F.lit("+00:00"))
-
-    def group(number, default="0"):
-        return F.coalesce(F.nullif(F.regexp_extract(zoned, ANY_TIME_SHAPE, number), F.lit("")), F.lit(default))
+def utc_time(text: str) -> str:
+    """ISO-8601 text as a UTC timestamp; no offset means UTC."""
+    plain = f"CASE WHEN {text} RLIKE r'{PLAIN_TIME_SHAPE}' THEN try_to_timestamp({text}) END"
+    return f"CASE WHEN NOT startswith({text}, '0000') THEN coalesce({plain}, {_any_utc_time(text)}) END"
 
-    year, week = group(1), group(5).cast("int")
-    first_monday = F.date_trunc("week", F.concat(year, F.lit("-01-04")).try_cast("timestamp"))
-    week_day = F.date_add(first_monday, (week - 1) * 7 + group(6, "1").cast("int") - 1)
-    day = F.when(
-        week > 0, F.when(F.weekofyear(week_day) == week, F.date_format(week_day, "yyyy-MM-dd"))
-    ).otherwise(F.concat_ws("-", year, group(3), group(4)))
-    clock = F.concat_ws(":", group(7, "00"), group(9, "00"), group(10, "00"))
-    local = F.try_to_timestamp(F.concat(day, F.lit(" "), clock, F.lit("."), group(11)))
 
-    offset_hours = group(13).cast("int")
-    seconds = offset_hours * 3600 + group(15).cast("int") * 60 + group(16).cast("int")
-    signed = F.when(group(12, "+") == "-", -seconds).otherwise(seconds)
-    return F.when(
-        zoned.rlike(ANY_TIME_SHAPE) & (offset_hours < 24), F.timestamp_add("SECOND", -signed, local)
-    )
+def _any_utc_time(text: str) -> str:
+    """Other forms are brought into the everyday one, piece by piece."""
+    zoned = f"replace({text}, 'Z', '+00:00')"
+    week = f"int(regexp_extract({zoned}, r'{WEEK_DATE}', 1))"
+    weekday = f"int(coalesce(nullif(regexp_extract({zoned}, r'{WEEK_DATE}', 2), ''), '1'))"
+    first_monday = f"date(date_trunc('week', try_cast(concat(left({zoned}, 4), '-01-04') AS TIMESTAMP)))"
+    week_day = f"date_add({first_monday}, ({week} - 1) * 7 + {weekday} - 1)"
+    from_week = f"""CASE WHEN weekofyear({week_day}) = {week}
+                         THEN concat(string({week_day}), regexp_replace({zoned}, r'{WEEK_DATE}', '')) END"""
+    from_calendar = rf"regexp_replace({zoned}, r'^(\d{{4}})-?(\d{{2}})-?(\d{{2}})', '$1-$2-$3')"
+    dated = rf"CASE WHEN {zoned} RLIKE r'^\d{{4}}-?W' THEN {from_week} ELSE {from_calendar} END"
+    separated = rf"regexp_replace({dated}, r'(?s)^(.{{10}}).', '$1T')"
+    clock = rf"regexp_replace({separated}, r'T(\d{{2}})(\d{{2}})(\d{{2}})', 'T$1:$2:$3')"
+    clock = rf"regexp_replace({clock}, r'T(\d{{2}})(\d{{2}})', 'T$1:$2')"
+    return f"""CASE WHEN {zoned} RLIKE r'{ANY_TIME_SHAPE}'
+                    THEN try_to_timestamp(replace({clock}, ',', '.')) END"""

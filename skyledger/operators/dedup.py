@@ -11,11 +11,11 @@ from skyledger.schemas import IDENTITY_FIELDS
 KEY_COLUMNS = ["dedup_key", "satellite_id", "subsystem", "event_timestamp"]
 
 
-def identity_key(validated: DataFrame) -> Column:
+def identity_key() -> Column:
     """The key of a validated row. Event time enters as the text that was sent."""
-    fields = {name: F.col(name) for name in IDENTITY_FIELDS}
-    fields["event_timestamp"] = F.col("event_text")
-    return dedup_key(fields)
+    fields = {name: name for name in IDENTITY_FIELDS}
+    fields["event_timestamp"] = "event_text"
+    return F.expr(dedup_key(fields))
 
 
 def dedup_batch(df: DataFrame) -> DataFrame:

@@ -1,130 +1,153 @@
-"""Ordered validation rules. The first rule that fails names the reason and the detail."""
+"""Ordered validation rules. The first rule that fails names the reason and the detail.
+
+A rule is (condition, reason code, detail), condition and detail as SQL text over the columns
+``raw_payload``, ``message`` (text fields) and the typed times and measures.
+"""
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from skyledger import fixed_values as fv
-from skyledger.functions.parsing import parse_number, parse_time
+from skyledger.functions.parsing import number, utc_time
 from skyledger.operators.parse import materialise
 from skyledger.schemas import MEASURES
 
 INVALID_JSON_TEXT = "Payload is not valid JSON"
 
+Rule = tuple[str, str, str]
+
 
-def _fails(condition: Column, code: str, detail) -> Column:
-    detail = detail if isinstance(detail, Column) else F.lit(detail)
-    return F.when(condition, F.struct(F.lit(code).alias("reason_code"), detail.alias("reason_detail")))
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "\\'") + "'"
 
 
-def _text(name: str) -> Column:
-    return F.col(f"message.{name}")
+def _listed(values: list[str]) -> str:
+    return "(" + ", ".join(_quoted(v) for v in values) + ")"
 
 
-def _is_blank(name: str) -> Column:
-    return _text(name).isNull() | (_text(name) == "")
+def _blank(name: str) -> str:
+    return f"coalesce(message.{name}, '') = ''"
 
 
-def payload_rules() -> list[Column]:
-    non_object = F.col("raw_payload").isNotNull() & F.try_parse_json("raw_payload").isNotNull()
-    detail = F.when(non_object, fv.NOT_AN_OBJECT_TEXT).otherwise(INVALID_JSON_TEXT)
-    return [_fails(F.col("message").isNull(), fv.INVALID_JSON, detail)]
+def payload_rules() -> list[Rule]:
+    detail = f"""CASE WHEN try_parse_json(raw_payload) IS NOT NULL THEN {_quoted(fv.NOT_AN_OBJECT_TEXT)}
+                      ELSE {_quoted(INVALID_JSON_TEXT)} END"""
+    return [("message IS NULL", fv.INVALID_JSON, detail)]
 
 
-def required_rules() -> list[Column]:
-    return [_fails(_is_blank(name), fv.MISSING_REQUIRED_FIELD, name) for name in fv.REQUIRED_FIELDS]
+def required_rules() -> list[Rule]:
+    return [(_blank(name), fv.MISSING_REQUIRED_FIELD, _quoted(name)) for name in fv.REQUIRED_FIELDS]
 
 
-def domain_rules() -> list[Column]:
+def domain_rules() -> list[Rule]:
     domains = [
         ("satellite_id", fv.SATELLITES, fv.INVALID_SATELLITE),
         ("ground_station_id", fv.GROUND_STATIONS, fv.INVALID_GROUND_STATION),
         ("subsystem", fv.SUBSYSTEMS, fv.INVALID_SUBSYSTEM),
     ]
-    return [_fails(~_text(name).isin(domain), code, _text(name)) for name, domain, code in domains]
+    return [(f"message.{name} NOT IN {_listed(domain)}", code, f"message.{name}") for name, domain, code in domains]
 
 
-def time_rules(now: Column) -> list[Column]:
+def time_rules() -> list[Rule]:
     def unparsed(name):
-        read = F.replace(_text(name), F.lit("Z"), F.lit("+00:00"))
-        message = F.concat(F.lit("Invalid isoformat string: '"), read, F.lit("'"))
-        return _fails(F.col(name).isNull(), fv.INVALID_TIMESTAMP, message)
+        read = f"replace(message.{name}, 'Z', '+00:00')"
+        return f"{name} IS NULL", fv.INVALID_TIMESTAMP, f"""concat("Invalid isoformat string: '", {read}, "'")"""
 
-    event, received = F.col("event_timestamp"), F.col("received_timestamp")
     return [
         unparsed("event_timestamp"),
         unparsed("received_timestamp"),
-        _fails(event > now, fv.FUTURE_EVENT_TIMESTAMP, _text("event_timestamp")),
-        _fails(received < event, fv.INVALID_RECEIVED_TIMESTAMP, fv.RECEIVED_BEFORE_EVENT_TEXT),
+        ("event_timestamp > now", fv.FUTURE_EVENT_TIMESTAMP, "message.event_timestamp"),
+        ("received_timestamp < event_timestamp", fv.INVALID_RECEIVED_TIMESTAMP,
+         _quoted(fv.RECEIVED_BEFORE_EVENT_TEXT)),
     ]
 
 
-def range_rules(subsystem: str) -> list[Column]:
+def range_rules(subsystem: str) -> list[Rule]:
     """Per measure in order: it must be a number, then it must be in range."""
     rules = []
     for name, low, high in fv.PHYSICAL_RANGES[subsystem]:
-        rules.append(_fails(F.col(name).isNull(), fv.INVALID_NUMERIC_TYPE, subsystem))
-        rules.append(_fails(~F.col(name).between(low, high), fv.OUT_OF_PHYSICAL_RANGE, name))
+        rules.append((f"{name} IS NULL", fv.INVALID_NUMERIC_TYPE, _quoted(subsystem)))
+        rules.append((f"{name} NOT BETWEEN {low}D AND {high}D", fv.OUT_OF_PHYSICAL_RANGE, _quoted(name)))
     return rules
 
 
-def link_rules() -> list[Column]:
+def link_rules() -> list[Rule]:
     """The status must be known and agree with the signal strength."""
-    status, signal = _text("comm_status"), F.col("signal_strength_dbm")
-    expected = (
-        F.when(signal >= fv.NOMINAL_FROM_DBM, "NOMINAL")
-        .when(signal >= fv.DEGRADED_FROM_DBM, "DEGRADED")
-        .otherwise("LOST")
-    )
-    text = (
-        F.when(expected == "NOMINAL", fv.MUST_BE_NOMINAL_TEXT)
-        .when(expected == "DEGRADED", fv.MUST_BE_DEGRADED_TEXT)
-        .otherwise(fv.MUST_BE_LOST_TEXT)
-    )
-    known = F.coalesce(status, F.lit("None"))
+    signal, status = "signal_strength_dbm", "message.comm_status"
+    known = f"coalesce({status}, 'None')"
+
+    def by_signal(nominal, degraded, lost):
+        return f"""CASE WHEN {signal} >= {fv.NOMINAL_FROM_DBM}D THEN {_quoted(nominal)}
+                        WHEN {signal} >= {fv.DEGRADED_FROM_DBM}D THEN {_quoted(degraded)}
+                        ELSE {_quoted(lost)} END"""
+
+    texts = (fv.MUST_BE_NOMINAL_TEXT, fv.MUST_BE_DEGRADED_TEXT, fv.MUST_BE_LOST_TEXT)
     return [
-        _fails(~known.isin(fv.COMM_STATUSES), fv.INVALID_COMM_STATUS, known),
-        _fails(status != expected, fv.INCONSISTENT_COMM_STATUS, text),
+        (f"{known} NOT IN {_listed(fv.COMM_STATUSES)}", fv.INVALID_COMM_STATUS, known),
+        (f"{status} <> {by_signal(*fv.COMM_STATUSES)}", fv.INCONSISTENT_COMM_STATUS, by_signal(*texts)),
     ]
 
 
-def measurement_rule() -> Column:
-    """The rules of the record's own subsystem."""
-    chosen = None
-    for subsystem in fv.SUBSYSTEMS:
-        rules = range_rules(subsystem) + (link_rules() if subsystem == "COMMS" else [])
-        is_own = _text("subsystem") == subsystem
-        first = F.coalesce(*rules)
-        chosen = F.when(is_own, first) if chosen is None else chosen.when(is_own, first)
-    return chosen
+def foreign_measure_rules() -> list[Rule]:
+    """A measure of another subsystem may be blank, but not a text that is no number."""
+    broken = " OR ".join(f"({name} IS NULL AND NOT {_blank(name)})" for name in MEASURES)
+    return [(broken, fv.INVALID_NUMERIC_TYPE, "message.subsystem")]
 
 
-def foreign_measure_rule() -> Column:
-    """A measure of another subsystem may be blank, but not a text that is no number."""
-    broken = [~_is_blank(name) & F.col(name).isNull() for name in MEASURES]
-    return _fails(F.greatest(*broken), fv.INVALID_NUMERIC_TYPE, _text("subsystem"))
+def general_rules() -> list[Rule]:
+    return payload_rules() + required_rules() + domain_rules() + time_rules()
+
+
+def own_rules(subsystem: str) -> list[Rule]:
+    return range_rules(subsystem) + (link_rules() if subsystem == "COMMS" else [])
+
+
+def all_rules() -> list[Rule]:
+    """In the order that numbers them, from 1."""
+    own = [rule for subsystem in fv.SUBSYSTEMS for rule in own_rules(subsystem)]
+    return general_rules() + own + foreign_measure_rules()
+
+
+def failed_rule() -> str:
+    """Number of the first rule that fails, else NULL.
+
+    General rules come first, then those of the record's own subsystem, then foreign measures.
+    """
+    numbered = iter(range(1, len(all_rules()) + 1))
+
+    def first(rules, otherwise="NULL"):
+        branches = " ".join(f"WHEN {test} THEN {next(numbered)}" for test, _, _ in rules)
+        return f"CASE {branches} ELSE {otherwise} END"
+
+    general = first(general_rules(), otherwise="{measured}")
+    own = " ".join(f"WHEN {_quoted(s)} THEN {first(own_rules(s))}" for s in fv.SUBSYSTEMS)
+    foreign = first(foreign_measure_rules())
+    return general.replace("{measured}", f"coalesce(CASE message.subsystem {own} END, {foreign})")
+
+
+def reason_columns(rule: str) -> list[str]:
+    """Code and detail of a failed rule's number."""
+    rules = all_rules()
+    codes = ", ".join(_quoted(code) for _, code, _ in rules)
+    details = " ".join(f"WHEN {n} THEN {detail}" for n, (_, _, detail) in enumerate(rules, 1))
+    return [
+        f"CASE WHEN {rule} IS NOT NULL THEN element_at(array({codes}), {rule}) END AS reason_code",
+        f"CASE {rule} {details} END AS reason_detail",
+    ]
 
 
 def validate(parsed: DataFrame, now: Column) -> DataFrame:
     """One row per payload: typed fields, plus ``reason_code`` and ``reason_detail`` (NULL if valid)."""
-    typed = parsed.select(
+    typed = parsed.withColumn("now", now).selectExpr(
         "*",
-        *[parse_time(_text(name)).alias(name) for name in fv.TIME_FIELDS],
-        *[parse_number(_text(name)).alias(name) for name in MEASURES],
-    )
-    reason = F.coalesce(
-        *payload_rules(),
-        *required_rules(),
-        *domain_rules(),
-        *time_rules(now),
-        measurement_rule(),
-        foreign_measure_rule(),
+        *[f"{utc_time('message.' + name)} AS {name}" for name in fv.TIME_FIELDS],
+        *[f"{number('message.' + name)} AS {name}" for name in MEASURES],
     )
-    return materialise(typed, reason, "reason").select(
+    return materialise(typed, F.expr(failed_rule()), "failed_rule").selectExpr(
         "raw_payload",
-        *[_text(name).alias(name) for name in fv.ID_FIELDS],
-        _text("event_timestamp").alias("event_text"),
+        *[f"message.{name} AS {name}" for name in fv.ID_FIELDS],
+        "message.event_timestamp AS event_text",
         *fv.TIME_FIELDS,
         *MEASURES,
-        _text("comm_status").alias("comm_status"),
-        "reason.reason_code",
-        "reason.reason_detail",
+        "message.comm_status AS comm_status",
+        *reason_columns("failed_rule"),
     )

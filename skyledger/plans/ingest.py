@@ -47,7 +47,7 @@ def accepted(checked: DataFrame, as_of: str | None = None) -> DataFrame:
     """Valid rows of ``validated`` in the curated layout, copies included."""
     valid = checked.filter(F.col("reason_code").isNull())
     enriched = valid.withColumns({
-        "dedup_key": identity_key(valid),
+        "dedup_key": identity_key(),
         "ingestion_timestamp": processing_time(as_of),
         "pipeline_version": F.lit(fv.PIPELINE_VERSION),
         "source_ground_station": F.col("ground_station_id"),

@@ -1,5 +1,7 @@
 """The batch job: append a batch of messages to the base tables, then rebuild silver and gold."""
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, functions as F
 
 from skyledger import fixed_values as fv, schemas
@@ -8,7 +10,7 @@ from skyledger.plans import gold, ingest, silver
 from skyledger.session import shared_dir
 from skyledger.sources.layers import Layers
 
-_REJECTED = ["event_timestamp", "reason_code", "reason_detail", "raw_payload"]
+PARALLEL_TABLES = 4
 
 
 def stage(messages: DataFrame, as_of: str | None = None) -> DataFrame:
@@ -38,17 +40,24 @@ def ingest_batch(messages: DataFrame, layers: Layers, as_of: str | None = None)
     layers.append(dedup_batch(without_known(new, layers.read("telemetry_curated"))), "telemetry_curated")
 
 
+def replace_all(layers: Layers, tables: dict[str, DataFrame]) -> None:
+    """Rebuild tables that do not depend on each other, some at a time: many are too small to fill a cluster."""
+    with ThreadPoolExecutor(PARALLEL_TABLES) as pool:
+        for done in [pool.submit(layers.replace, table, name) for name, table in tables.items()]:
+            done.result()
+
+
 def build_silver(layers: Layers) -> None:
     layers.replace(silver.silver_telemetry(layers.read("telemetry_curated")), "silver_telemetry")
     telemetry = layers.read("silver_telemetry")
-    for build in (silver.silver_power, silver.silver_thermal, silver.silver_comms, silver.silver_orbital):
-        layers.replace(build(telemetry), build.__name__)
+    splits = (silver.silver_power, silver.silver_thermal, silver.silver_comms, silver.silver_orbital)
+    replace_all(layers, {build.__name__: build(telemetry) for build in splits})
 
 
 def build_gold(layers: Layers, grid_start: str = fv.GRID_START, grid_end: str = fv.GRID_END) -> None:
     spark = layers.spark
     telemetry, quarantine = layers.read("silver_telemetry"), layers.read("telemetry_quarantine")
-    tables = {
+    replace_all(layers, {
         "dim_satellite": gold.dim_satellite(gold.inline_ids(spark, "satellite_id", fv.SATELLITES)),
         "dim_ground_station": gold.dim_ground_station(
             gold.inline_ids(spark, "ground_station_id", fv.GROUND_STATIONS)),
@@ -60,9 +69,7 @@ def build_gold(layers: Layers, grid_start: str = fv.GRID_START, grid_end: str =
         "gold_data_quality": gold.gold_data_quality(quarantine),
         "gold_pipeline_quality": gold.gold_pipeline_quality(
             layers.read("telemetry_raw"), telemetry, quarantine),
-    }
-    for name, table in tables.items():
-        layers.replace(table, name)
+    })
 
 
 def refresh(

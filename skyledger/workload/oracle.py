@@ -205,14 +205,14 @@ def _ratio(part: str, whole: str) -> str:
 _HEALTH = f"""
 daily as (
   select cast(event_timestamp as date) as metric_date, satellite_id, count(*) as telemetry_rows,
-    count_if(subsystem = 'POWER') as power_readings, count_if(subsystem = 'THERMAL') as thermal_readings,
-    count_if(subsystem = 'COMMS') as comms_readings, count_if(subsystem = 'ORBITAL') as orbital_readings,
+    cast(count_if(subsystem = 'POWER') as bigint) as power_readings, cast(count_if(subsystem = 'THERMAL') as bigint) as thermal_readings,
+    cast(count_if(subsystem = 'COMMS') as bigint) as comms_readings, cast(count_if(subsystem = 'ORBITAL') as bigint) as orbital_readings,
     avg(battery_voltage_v) filter (subsystem = 'POWER') as avg_battery_voltage_v,
     avg(internal_temp_c) filter (subsystem = 'THERMAL') as avg_internal_temp_c,
     avg(signal_strength_dbm) filter (subsystem = 'COMMS') as avg_signal_strength_dbm,
     avg(bit_error_rate) filter (subsystem = 'COMMS') as avg_bit_error_rate,
-    count_if(subsystem = 'COMMS' and comm_status = 'DEGRADED') as degraded_comms_count,
-    count_if(subsystem = 'COMMS' and comm_status = 'LOST') as lost_comms_count,
+    cast(count_if(subsystem = 'COMMS' and comm_status = 'DEGRADED') as bigint) as degraded_comms_count,
+    cast(count_if(subsystem = 'COMMS' and comm_status = 'LOST') as bigint) as lost_comms_count,
     avg(latency_ms) as avg_latency_ms, max(latency_ms) as max_latency_ms
   from silver group by all
 ), health as (
@@ -223,9 +223,9 @@ daily as (
 
 _LINK = f"""count(*) as comm_readings, avg(signal_strength_dbm) as avg_signal_strength_dbm,
     min(signal_strength_dbm) as min_signal_strength_dbm, max(signal_strength_dbm) as max_signal_strength_dbm,
-    avg(bit_error_rate) as avg_bit_error_rate, count_if(comm_status = 'NOMINAL') as nominal_count,
-    count_if(comm_status = 'DEGRADED') as degraded_count, count_if(comm_status = 'LOST') as lost_count,
-    {_ratio("count_if(comm_status in ('DEGRADED', 'LOST'))", "count(*)")} as degraded_or_lost_rate"""
+    avg(bit_error_rate) as avg_bit_error_rate, cast(count_if(comm_status = 'NOMINAL') as bigint) as nominal_count,
+    cast(count_if(comm_status = 'DEGRADED') as bigint) as degraded_count, cast(count_if(comm_status = 'LOST') as bigint) as lost_count,
+    {_ratio("cast(count_if(comm_status in ('DEGRADED', 'LOST')) as bigint)", "count(*)")} as degraded_or_lost_rate"""
 
 _COMM_HEALTH = f"""
 comm_health as (
@@ -378,8 +378,8 @@ select satellite_id, subsystem, reason_code, count(*) as rejected_records from q
         "dataset_profile": query(f"""
 select total_rows, malformed_rows, {_round("malformed_rows * cast(100 as double) / total_rows", 3)} as malformed_pct,
   duplicate_rows, {_round("duplicate_rows * cast(100 as double) / total_rows", 3)} as duplicate_pct
-from (select count(*) as total_rows, count_if(is_malformed = 'true') as malformed_rows,
-             count_if(is_duplicate = 'true') as duplicate_rows from received)"""),
+from (select count(*) as total_rows, cast(count_if(is_malformed = 'true') as bigint) as malformed_rows,
+             cast(count_if(is_duplicate = 'true') as bigint) as duplicate_rows from received)"""),
         "rows_per_satellite": query("select satellite_id, count(*) as row_count from received group by satellite_id"),
         "curated_from_csv": query("select * from curated", whole_json=True),
         "stored_tables": query(" union all ".join(

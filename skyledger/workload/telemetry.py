@@ -4,7 +4,7 @@ Every event becomes one message, some become two. All numbers are dyadic fractio
 averages are exact in any order.
 """
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from skyledger.schemas import ANSWER_KEY_FIELDS, PAYLOAD_FIELDS
 
@@ -23,83 +23,69 @@ def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events
 
 
-def _number(value: Column) -> Column:
-    return value.cast("decimal(24,16)").cast("string")
+def _steps(modulus: int, size: float, start: float) -> str:
+    return f"{start}D + double(event_id % {modulus}) * {size}D"
 
 
-def _steps(modulus: int, size: float, start: float) -> Column:
-    return F.lit(start) + (F.col("event_id") % modulus).cast("double") * F.lit(size)
-
-
-def _measure(subsystem: str, value: Column, faults: dict[int, str | None] | None = None) -> Column:
+def _measure(subsystem: str, value: str, faults: dict[int, str | None] | None = None) -> str:
     """Text of a measure for its own subsystem, with the values of the fault classes."""
-    text = _number(value)
-    for fault, broken in (faults or {}).items():
-        text = F.when(F.col("fault") == fault, F.lit(broken).cast("string")).otherwise(text)
-    return F.when(F.col("base_subsystem") == subsystem, text)
+    broken = "".join(
+        f" WHEN fault = {fault} THEN {'NULL' if text is None else repr(text)}"
+        for fault, text in (faults or {}).items()
+    )
+    return f"""CASE WHEN base_subsystem <> '{subsystem}' THEN NULL {broken}
+                    ELSE string(cast({value} AS DECIMAL(24,16))) END"""
 
 
-def _iso(time: Column) -> Column:
-    return F.concat(F.date_format(time, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("Z"))
+def _iso(time: str) -> str:
+    return f"""concat(date_format({time}, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), 'Z')"""
 
 
 def received_rows(events: DataFrame) -> DataFrame:
-    """The 18 message fields and 4 answer-key fields, all as text."""
-    event = F.col("event_id")
-    copies = F.when(event % 33 == 5, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
-    eighth = F.floor((event % 400) / 50)
-    fault = F.when(event % 50 == 7, eighth + 1).when(event % 50 == 23, eighth + 9).otherwise(0)
-    subsystem = (
-        F.when(F.col("event_type") == "click", "POWER")
-        .when(F.col("event_type") == "view", "THERMAL")
-        .when(F.col("event_type") == "error", "ORBITAL")
-        .otherwise("COMMS")
+    """The 18 message fields and 4 answer-key fields as text, and the fault class."""
+    base = events.selectExpr(
+        "event_id", "user_id", "cast(ts AS TIMESTAMP) AS ts",
+        "explode(CASE WHEN event_id % 33 = 5 THEN array(0, 1) ELSE array(0) END) AS copy",
+        """CASE WHEN event_id % 50 = 7 THEN floor((event_id % 400) / 50) + 1
+                WHEN event_id % 50 = 23 THEN floor((event_id % 400) / 50) + 9 ELSE 0 END AS fault""",
+        """CASE event_type WHEN 'click' THEN 'POWER' WHEN 'view' THEN 'THERMAL'
+                WHEN 'error' THEN 'ORBITAL' ELSE 'COMMS' END AS base_subsystem""",
+        f"""CASE WHEN user_id % 12 = 10 THEN {_steps(176, 0.125, -110.0)}
+                 ELSE {_steps(200, 0.125, -75.0)} END AS signal""",
     )
-    signal = F.when(F.col("user_id") % 12 == 10, _steps(176, 1 / 8, -110.0)).otherwise(
-        _steps(200, 1 / 8, -75.0)
-    )
-    base = events.select(
-        "event_id", "user_id", F.col("ts").cast("timestamp").alias("ts"),
-        F.explode(copies).alias("copy"), fault.alias("fault"),
-        subsystem.alias("base_subsystem"), signal.alias("signal"),
-    )
-
-    d = F.col("fault")
-    delay_ms = F.when(d == 7, -5000).otherwise(1000 + (event * 37) % 7000 + F.col("copy") * 1500)
-    right_status = F.when(F.col("signal") >= -80, "NOMINAL").when(F.col("signal") >= -95, "DEGRADED").otherwise("LOST")
-    wrong_status = F.when(F.col("signal") >= -80, "LOST").otherwise("NOMINAL")
-    status = F.when(d == 11, "UNKNOWN").when(d == 12, wrong_status).otherwise(right_status)
-    latitude = _measure("ORBITAL", _steps(412, 1 / 4, -51.5), {9: None})
+    delay_ms = "CASE WHEN fault = 7 THEN -5000 ELSE 1000 + (event_id * 37) % 7000 + copy * 1500 END"
+    latitude = _measure("ORBITAL", _steps(412, 0.25, -51.5), {9: None})
     fields = {
-        "message_id": F.when(d == 15, "").otherwise(
-            F.concat(F.when(F.col("copy") == 0, "m").otherwise("d"), event.cast("string"))),
-        "satellite_id": F.when(d == 1, F.lit(None)).when(d == 2, "SAT-99").otherwise(
-            F.concat(F.lit("SAT-"), F.lpad((F.col("user_id") % 12 + 1).cast("string"), 2, "0"))),
-        "ground_station_id": F.when(d == 3, "GS-9").otherwise(
-            F.concat(F.lit("GS-"), (event % 4 + 1).cast("string"))),
-        "subsystem": F.when(d == 4, "PAYLOAD").otherwise(F.col("base_subsystem")),
-        "event_timestamp": F.when(d == 5, "not-a-time").when(d == 6, "2100-01-01T00:00:00Z").otherwise(
-            _iso(F.col("ts"))),
-        "received_timestamp": _iso(F.timestamp_add("MILLISECOND", delay_ms, F.col("ts"))),
-        "battery_voltage_v": _measure("POWER", _steps(64, 1 / 64, 27.5), {8: "-40", 9: None}),
-        "battery_current_a": _measure("POWER", _steps(32, 1 / 64, 1.75), {10: "N/A"}),
-        "solar_output_w": _measure("POWER", _steps(480, 1 / 4, 80.0)),
-        "internal_temp_c": _measure("THERMAL", _steps(48, 1 / 8, 18.0), {8: "700", 9: None}),
-        "external_temp_c": _measure("THERMAL", _steps(320, 1 / 4, -60.0), {10: "N/A"}),
-        "signal_strength_dbm": _measure("COMMS", F.col("signal"), {8: "30", 9: None}),
-        "bit_error_rate": _measure("COMMS", _steps(128, 1 / 65536, 0.0), {10: "N/A"}),
-        "comm_status": F.when(F.col("base_subsystem") == "COMMS", status),
-        "latitude": F.when(d == 16, "abc").otherwise(latitude),
-        "longitude": _measure("ORBITAL", _steps(1440, 1 / 4, -180.0)),
-        "altitude_km": _measure("ORBITAL", _steps(160, 1 / 8, 530.0), {8: "-250"}),
-        "velocity_kms": _measure("ORBITAL", _steps(16, 1 / 64, 7.5), {10: "N/A"}),
-        "is_malformed": F.when(d > 0, "true").otherwise("false"),
-        "malformed_reason": F.when(d > 0, F.concat(F.lit("fault "), d.cast("string"))),
-        "is_duplicate": F.when(F.col("copy") == 1, "true").otherwise("false"),
-        "duplicate_of_message_id": F.when(F.col("copy") == 1, F.concat(F.lit("m"), event.cast("string"))),
-        "fault": d,
+        "message_id": "CASE WHEN fault = 15 THEN '' WHEN copy = 0 THEN concat('m', event_id) ELSE concat('d', event_id) END",
+        "satellite_id": """CASE WHEN fault = 1 THEN NULL WHEN fault = 2 THEN 'SAT-99'
+                                ELSE concat('SAT-', lpad(string(user_id % 12 + 1), 2, '0')) END""",
+        "ground_station_id": "CASE WHEN fault = 3 THEN 'GS-9' ELSE concat('GS-', event_id % 4 + 1) END",
+        "subsystem": "CASE WHEN fault = 4 THEN 'PAYLOAD' ELSE base_subsystem END",
+        "event_timestamp": f"""CASE WHEN fault = 5 THEN 'not-a-time' WHEN fault = 6 THEN '2100-01-01T00:00:00Z'
+                                    ELSE {_iso('ts')} END""",
+        "received_timestamp": _iso(f"timestampadd(MILLISECOND, {delay_ms}, ts)"),
+        "battery_voltage_v": _measure("POWER", _steps(64, 0.015625, 27.5), {8: "-40", 9: None}),
+        "battery_current_a": _measure("POWER", _steps(32, 0.015625, 1.75), {10: "N/A"}),
+        "solar_output_w": _measure("POWER", _steps(480, 0.25, 80.0)),
+        "internal_temp_c": _measure("THERMAL", _steps(48, 0.125, 18.0), {8: "700", 9: None}),
+        "external_temp_c": _measure("THERMAL", _steps(320, 0.25, -60.0), {10: "N/A"}),
+        "signal_strength_dbm": _measure("COMMS", "signal", {8: "30", 9: None}),
+        "bit_error_rate": _measure("COMMS", _steps(128, 0.0000152587890625, 0.0), {10: "N/A"}),
+        "comm_status": """CASE WHEN base_subsystem <> 'COMMS' THEN NULL WHEN fault = 11 THEN 'UNKNOWN'
+                               WHEN fault = 12 THEN CASE WHEN signal >= -80 THEN 'LOST' ELSE 'NOMINAL' END
+                               WHEN signal >= -80 THEN 'NOMINAL' WHEN signal >= -95 THEN 'DEGRADED'
+                               ELSE 'LOST' END""",
+        "latitude": f"CASE WHEN fault = 16 THEN 'abc' ELSE {latitude} END",
+        "longitude": _measure("ORBITAL", _steps(1440, 0.25, -180.0)),
+        "altitude_km": _measure("ORBITAL", _steps(160, 0.125, 530.0), {8: "-250"}),
+        "velocity_kms": _measure("ORBITAL", _steps(16, 0.015625, 7.5), {10: "N/A"}),
+        "is_malformed": "string(fault > 0)",
+        "malformed_reason": "CASE WHEN fault > 0 THEN concat('fault ', fault) END",
+        "is_duplicate": "string(copy = 1)",
+        "duplicate_of_message_id": "CASE WHEN copy = 1 THEN concat('m', event_id) END",
+        "fault": "fault",
     }
-    return base.select([column.alias(name) for name, column in fields.items()])
+    return base.selectExpr(*[f"{text} AS {name}" for name, text in fields.items()])
 
 
 def messages(events: DataFrame, numeric: bool = False) -> DataFrame:
