@@ -11,12 +11,18 @@ DAY = "partition_date"
 
 @dataclass(frozen=True)
 class Layout:
-    """Where a table lives, the column whose UTC day partitions it, and its cluster keys."""
+    """Where a table lives, the column whose UTC day partitions it, and its cluster keys.
+
+    ``gather`` brings the rows of a day together before the write. It is left out where rows already
+    come day by day: a batch has one ingestion day, and the tables cut from ``silver_telemetry``
+    read its day folders.
+    """
 
     layer: str
     day_of: str | None = None
     cluster: tuple[str, ...] = ()
     schema: T.StructType | None = None
+    gather: bool = False
 
 
 _BY_STATION = ("satellite_id", "ground_station_id")
@@ -25,11 +31,11 @@ LAYOUTS = {
     "telemetry_raw": Layout(
         "raw", "ingestion_timestamp", ("satellite_id", "ground_station_id", "subsystem"), schemas.RAW),
     "telemetry_quarantine": Layout(
-        "quarantine", "quarantined_at", ("satellite_id", "reason_code"), schemas.QUARANTINE),
+        "quarantine", "quarantined_at", ("satellite_id", "reason_code"), schemas.QUARANTINE, gather=True),
     "telemetry_curated": Layout(
         "curated", "ingestion_timestamp", ("satellite_id", "ground_station_id", "subsystem"), schemas.CURATED),
     "silver_telemetry": Layout(
-        "silver", "event_timestamp", ("satellite_id", "subsystem", "ground_station_id")),
+        "silver", "event_timestamp", ("satellite_id", "subsystem", "ground_station_id"), gather=True),
     "silver_power": Layout("silver", "event_timestamp", _BY_STATION),
     "silver_thermal": Layout("silver", "event_timestamp", _BY_STATION),
     "silver_comms": Layout("silver", "event_timestamp", _BY_STATION),
@@ -38,8 +44,8 @@ LAYOUTS = {
     "dim_ground_station": Layout("gold"),
     "fact_telemetry": Layout(
         "gold", "event_timestamp", ("satellite_id", "subsystem", "ground_station_id")),
-    "gold_satellite_health": Layout("gold", "metric_date", ("satellite_id",)),
-    "gold_communication_health": Layout("gold", "metric_date", ("satellite_id",)),
+    "gold_satellite_health": Layout("gold", "metric_date", ("satellite_id",), gather=True),
+    "gold_communication_health": Layout("gold", "metric_date", ("satellite_id",), gather=True),
     "gold_contact_gaps": Layout("gold"),
     "gold_data_completeness": Layout("gold"),
     "gold_data_quality": Layout("gold"),
@@ -57,7 +63,9 @@ def arranged(df: DataFrame, layout: Layout) -> DataFrame:
     if not layout.day_of:
         return df
     dated = df.withColumn(DAY, F.to_date(layout.day_of))
-    return dated.hint("rebalance", DAY).sortWithinPartitions(DAY, *layout.cluster)
+    if layout.gather:
+        dated = dated.hint("rebalance", DAY)
+    return dated.sortWithinPartitions(DAY, *layout.cluster)
 
 
 class Layers:
