@@ -5,6 +5,8 @@ The larger expressions are SQL text: one call builds them, where nested column c
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+# What nearly all measures look like; the full shape takes longer to test.
+PLAIN_NUMBER_SHAPE = r"^-?\d+(?:\.\d+)?$"
 _DIGITS = r"\d+(?:_\d+)*"
 NUMBER_SHAPE = (
     rf"^\s*[+-]?(?:(?:{_DIGITS}\.?(?:{_DIGITS})?|\.{_DIGITS})(?:[eE][+-]?{_DIGITS})?"
@@ -37,7 +39,8 @@ def number(text: str) -> str:
     ``from_json`` keeps the quotes of JSON's bare NaN and Infinity, so outer quotes are taken off.
     """
     bare = f"""btrim({text}, '"')"""
-    return f"CASE WHEN {bare} RLIKE r'{NUMBER_SHAPE}' THEN try_cast(replace({bare}, '_', '') AS DOUBLE) END"
+    return f"""CASE WHEN {text} RLIKE r'{PLAIN_NUMBER_SHAPE}' THEN try_cast({text} AS DOUBLE)
+                    WHEN {bare} RLIKE r'{NUMBER_SHAPE}' THEN try_cast(replace({bare}, '_', '') AS DOUBLE) END"""
 
 
 def utc_time(text: str) -> str:
