@@ -1,5 +1,7 @@
 """Semantic de-duplication: one row per ``dedup_key``."""
 
+from datetime import datetime
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from skyledger import fixed_values as fv
@@ -29,17 +31,23 @@ def dedup_batch(df: DataFrame) -> DataFrame:
     return ranked.filter(F.col("copy_rank") == 1).drop("copy_rank")
 
 
-def without_known(df: DataFrame, curated: DataFrame) -> DataFrame:
+def event_span(df: DataFrame) -> tuple[datetime, datetime] | None:
+    """First and last event time, one row; None without rows."""
+    span = df.agg(F.min("event_timestamp").alias("low"), F.max("event_timestamp").alias("high")).first()
+    return None if span.low is None else (span.low, span.high)
+
+
+def without_known(deduped: DataFrame, curated: DataFrame, span: tuple[datetime, datetime] | None) -> DataFrame:
     """Drop readings that an earlier run already wrote.
 
-    Equal readings have equal event times, so only the stored rows inside the new rows' event-time
-    span are read; the span is one row with two times.
+    Equal readings have equal event times, so only the stored rows inside the new rows' ``span`` are
+    read. The join uses the dedup's own columns: its shuffle serves the join, and copies are gone
+    before it.
     """
-    span = df.agg(F.min("event_timestamp").alias("low"), F.max("event_timestamp").alias("high")).first()
-    if span.low is None:
-        return df
-    overlap = curated.filter(F.col("event_timestamp").between(F.lit(span.low), F.lit(span.high)))
-    return df.join(overlap.select("dedup_key"), "dedup_key", "left_anti")
+    if span is None:
+        return deduped
+    overlap = curated.filter(F.col("event_timestamp").between(*[F.lit(time) for time in span]))
+    return deduped.join(overlap.select(KEY_COLUMNS), KEY_COLUMNS, "left_anti").select(deduped.columns)
 
 
 def dedup_stream(df: DataFrame, lateness: str = fv.ALLOWED_LATENESS, spread: int = 16) -> DataFrame:

@@ -18,14 +18,21 @@ def materialise(df: DataFrame, column, name: str) -> DataFrame:
     return computed.select("*", F.explode(F.array(held)).alias(name)).drop(held)
 
 
-def parse_payloads(messages: DataFrame, fields: T.StructType, value: str = "value") -> DataFrame:
+def parse_payloads(messages: DataFrame, fields: T.StructType, value: str = "value", hold: bool = True) -> DataFrame:
     """``raw_payload`` and ``message``, a struct of text fields; NULL unless one whole JSON object.
 
     The payload is parsed as the only element of an array: trailing text, a second object, an empty
-    payload, scalars and arrays then all fail to give exactly one object.
+    payload, scalars and arrays then all fail to give exactly one object. A payload that closes that
+    array itself needs a ``]`` to do so; such payloads are parsed once more as an object's member,
+    where that would be an error.
+
+    ``hold=False`` leaves out the ``materialise`` step, for users that do not filter on the fields.
     """
     text = messages.select(utf8_text(messages, value).alias("raw_payload"))
     listed = F.concat(F.lit("["), F.col("raw_payload"), F.lit("]"))
-    parsed = materialise(text, F.from_json(listed, T.ArrayType(fields), STRICT_JSON), "objects")
-    only = F.when(F.size("objects") == 1, F.col("objects")[0])
-    return parsed.select("raw_payload", only.alias("message"))
+    objects = F.from_json(listed, T.ArrayType(fields), STRICT_JSON)
+    parsed = materialise(text, objects, "objects") if hold else text.withColumn("objects", objects)
+    member = F.concat(F.lit('{"whole":'), F.col("raw_payload"), F.lit("}"))
+    checked = F.from_json(member, "whole STRING, broken STRING", {**STRICT_JSON, "columnNameOfCorruptRecord": "broken"})
+    is_one = (F.size("objects") == 1) & (~F.col("raw_payload").contains("]") | checked["broken"].isNull())
+    return parsed.select("raw_payload", F.when(is_one, F.col("objects")[0]).alias("message"))

@@ -15,7 +15,7 @@ def processing_time(as_of: str | None = None) -> Column:
 
 def raw_envelope(messages: DataFrame, as_of: str | None = None) -> DataFrame:
     """Every message, valid or not, with its whole payload and the ids it may carry."""
-    parsed = parse_payloads(messages, schemas.ENVELOPE_IDS)
+    parsed = parse_payloads(messages, schemas.ENVELOPE_IDS, hold=False)
     return parsed.select(
         "raw_payload",
         *[F.col(f"message.{name}").alias(name) for name in fv.ID_FIELDS],

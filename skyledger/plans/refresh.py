@@ -5,7 +5,7 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import DataFrame, functions as F
 
 from skyledger import fixed_values as fv, schemas
-from skyledger.operators.dedup import dedup_batch, without_known
+from skyledger.operators.dedup import dedup_batch, event_span, without_known
 from skyledger.plans import gold, ingest, silver
 from skyledger.session import shared_dir
 from skyledger.sources.layers import Layers
@@ -37,7 +37,8 @@ def ingest_batch(messages: DataFrame, layers: Layers, as_of: str | None = None)
     staged = stage(messages, as_of)
     layers.append(ingest.quarantined(staged.filter(~F.col("is_valid")), as_of), "telemetry_quarantine")
     new = ingest.accepted(staged.filter("is_valid"), as_of)
-    layers.append(dedup_batch(without_known(new, layers.read("telemetry_curated"))), "telemetry_curated")
+    unseen = without_known(dedup_batch(new), layers.read("telemetry_curated"), event_span(new))
+    layers.append(unseen, "telemetry_curated")
 
 
 def replace_all(layers: Layers, tables: dict[str, DataFrame]) -> None:

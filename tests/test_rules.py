@@ -91,13 +91,15 @@ def forms():
         yield body, "INVALID_JSON", invalid
     for body in (b"[" + good + b"]", b"[]", b"null", b"true", b"17", b'"text"'):
         yield body, "INVALID_JSON", non_object
-    for body in (good + b" trailing", good + good, good + b"," + good):
+    for body in (good + b" trailing", good + good, good + b"," + good, good + b"],[" + good, good + b"]",
+                 good + b"}", good + b',"x":' + good):
         yield body, "INVALID_JSON", None
     yield b"\n " + good + b" \t\r\n", None, None
     yield good.replace(b'"SAT-01"', b'"SAT-99", "satellite_id": "SAT-02"'), None, None
     yield payload(battery_voltage_v="2_8"), None, None
     yield payload(battery_voltage_v=" 28 "), None, None
     yield payload(is_malformed="true", other={"a": [1]}), None, None
+    yield payload(other="],[", list=[[1], {"a": []}]), None, None
     yield b'{"message_id": "\xff\xfe"}', V, "satellite_id"
 
 
