@@ -97,7 +97,7 @@ class Telemetry:
         layers = Layers(session, shared_dir(session, "stream-layers"))
         streaming.drain(
             messages(events), layers, shared_dir(session, "stream-checkpoints"), tables=[table], as_of=AS_OF)
-        return layers.read(table)
+        return Layers(self.spark, layers.root).read(table)
 
 
 Query = Callable[[Telemetry], DataFrame]
