@@ -1,7 +1,5 @@
 """Semantic de-duplication: one row per ``dedup_key``."""
 
-from datetime import datetime
-
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from skyledger import fixed_values as fv
@@ -31,13 +29,14 @@ def dedup_batch(df: DataFrame) -> DataFrame:
     return ranked.filter(F.col("copy_rank") == 1).drop("copy_rank")
 
 
-def event_span(df: DataFrame) -> tuple[datetime, datetime] | None:
-    """First and last event time, one row; None without rows."""
-    span = df.agg(F.min("event_timestamp").alias("low"), F.max("event_timestamp").alias("high")).first()
+def event_span(df: DataFrame) -> tuple[int, int] | None:
+    """First and last event time in microseconds, one row; None without rows."""
+    micros = F.unix_micros("event_timestamp")
+    span = df.agg(F.min(micros).alias("low"), F.max(micros).alias("high")).first()
     return None if span.low is None else (span.low, span.high)
 
 
-def without_known(deduped: DataFrame, curated: DataFrame, span: tuple[datetime, datetime] | None) -> DataFrame:
+def without_known(deduped: DataFrame, curated: DataFrame, span: tuple[int, int] | None) -> DataFrame:
     """Drop readings that an earlier run already wrote.
 
     Equal readings have equal event times, so only the stored rows inside the new rows' ``span`` are
@@ -46,7 +45,7 @@ def without_known(deduped: DataFrame, curated: DataFrame, span: tuple[datetime,
     """
     if span is None:
         return deduped
-    overlap = curated.filter(F.col("event_timestamp").between(*[F.lit(time) for time in span]))
+    overlap = curated.filter(F.col("event_timestamp").between(*[F.timestamp_micros(F.lit(time)) for time in span]))
     return deduped.join(overlap.select(KEY_COLUMNS), KEY_COLUMNS, "left_anti").select(deduped.columns)
 
 
