@@ -1,8 +1,9 @@
 """The queries of this package by name, and the SQL of those that SQL can express."""
 
-from skyledger.llm import exact_dedup, secrets
+from skyledger.llm import exact_dedup, packing, secrets
 
 QUERIES = {
+    "op1_packing": packing.query,
     "op5_secrets": secrets.query,
     "op10_exact_dedup": exact_dedup.query,
 }
