@@ -16,10 +16,11 @@ each. Other columns are ignored, whatever their names. An empty table gives no p
 
 import os
 import re
+import string
 import struct
 from collections.abc import Iterator
+from itertools import chain
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -30,10 +31,14 @@ from skyledger.llm.wordhash import text_slices
 
 MAX_LEN = 4096
 END_ID = 2
-CACHED_WORDS = 300_000
+CACHED_WORDS = 500_000
 CACHED_CHARS = 40
 SLICE_BYTES = 1 << 20
 _NO_WHITE_SPACE = re.compile("[\x1c-\x1f]")  # str.split cuts there, the tokenizer does not
+_SIGNS = string.punctuation
+_LATIN_END = "\u0180"  # beyond, lower case may depend on neighbours
+_DOTTED_I = "\u0130"
+_PACK = [struct.Struct(f"<{n}I").pack for n in range(32)]
 _ASCII_SPACE = re.compile(r"[\x20\t\n\r\f\v]+")
 
 
@@ -43,8 +48,13 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
-def pack_ids(n: int, ids: list[int]) -> bytes:
-    return struct.pack(f"<{n}I", *ids)
+def _parts(chunk: str) -> tuple[str, str]:
+    """Letters (case folded where that is safe) and the ASCII signs after them, or the whole chunk."""
+    stem = chunk.rstrip(_SIGNS)
+    if not stem.isalpha() or _DOTTED_I in stem:  # its lower case ends in a mark, which is no letter
+        return chunk, ""
+    tail = chunk[len(stem) :]
+    return stem.lower() if stem < _LATIN_END and max(stem) < _LATIN_END else stem, tail
 
 
 class WordTokens:
@@ -60,8 +70,20 @@ class WordTokens:
         self.older: dict[str, bytes] = {}
 
     def encode(self, chunks: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)
-        return [pack_ids(len(ids := e.ids), ids) for e in found]
+        """Ids of chunks. Letters followed by ASCII signs are two words to the tokenizer: the case-folded
+        letters and the signs are encoded once for all chunks that share them."""
+        parts = [_parts(c) for c in chunks]
+        wanted = {p: b"" for p in chain.from_iterable(parts)}
+        fresh = []
+        for p in wanted:
+            if (ids := self.known.get(p)) is None:
+                fresh.append(p)
+            else:
+                wanted[p] = ids
+        for p, e in zip(fresh, self.tokenizer.encode_batch_fast(fresh, add_special_tokens=False), strict=True):
+            ids = e.ids
+            wanted[p] = _PACK[len(ids)](*ids) if len(ids) < 32 else struct.pack(f"<{len(ids)}I", *ids)
+        return [wanted[stem] + wanted[tail] if tail else wanted[stem] for stem, tail in parts]
 
     def texts(self, texts: list[str]) -> Iterator[bytes]:
         split = [[w for w in _ASCII_SPACE.split(t) if w] if _NO_WHITE_SPACE.search(t) else t.split() for t in texts]
@@ -110,7 +132,7 @@ def pack(
         rows.schema["doc_id"], *(T.StructField(c, T.LongType(), False) for c in ("start", "length", "doc_tokens")),
         T.StructField("ids", T.BinaryType(), False),
     ])
-    end = np.array([end_id], "<u4").tobytes()
+    end = struct.pack("<I", end_id)
 
     def cut(batches):
         tokens = _TOKENS.get(path) or _TOKENS.setdefault(path, WordTokens(path))
