@@ -1,11 +1,15 @@
 """The queries of this package by name, and the SQL of those that SQL can express."""
 
-from skyledger.llm import exact_dedup, packing, secrets
+from skyledger.llm import exact_dedup, packing, secrets, warc
 
 QUERIES = {
     "op1_packing": packing.query,
+    "op2_warc": warc.query,
     "op5_secrets": secrets.query,
     "op10_exact_dedup": exact_dedup.query,
 }
 
-ORACLE_SQL = {"op10_exact_dedup": exact_dedup.ORACLE}
+ORACLE_SQL = {
+    "op2_warc": warc.ORACLE,
+    "op10_exact_dedup": exact_dedup.ORACLE,
+}

@@ -65,9 +65,10 @@ def exact_dedup(
         "exact-digests",
     )
     first = F.min(F.struct((-F.col("n_chars")).alias("order"), F.col("doc_id").isNull().alias("no_id"), "doc_id"))
-    groups = (
+    groups = stage(  # written, so that the join below deals both sides itself and can split a hot digest
         full.where("candidate").groupBy("text_sha256")
-        .agg(F.count("*").alias("group_size"), first["doc_id"].alias("keep_id"))
+        .agg(F.count("*").alias("group_size"), first["doc_id"].alias("keep_id")),
+        "exact-groups",
     )
     grouped = full.where("candidate").join(groups, "text_sha256")
     alone = full.where("not candidate").withColumns({"group_size": F.lit(1).cast("long"), "keep_id": F.col("doc_id")})

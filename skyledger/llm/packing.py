@@ -90,15 +90,14 @@ class WordTokens:
         if len(self.known) > CACHED_WORDS:
             self.older, self.known = self.known, {}
         known, older = self.known, self.older
-        missing = dict.fromkeys(w for words in split for w in words if w not in known)
-        again = [w for w in missing if w in older]
+        missing = set().union(*split).difference(known)
+        again = missing.intersection(older)
         known.update((w, older[w]) for w in again)
-        for w in again:
-            del missing[w]
-        known.update(zip(missing, self.encode(list(missing)), strict=True))
+        fresh = list(missing - again)
+        known.update(zip(fresh, self.encode(fresh), strict=True))
         for words in split:
             yield b"".join(map(known.__getitem__, words))
-        for w in missing:
+        for w in fresh:
             if len(w) > CACHED_CHARS:
                 del known[w]
 
