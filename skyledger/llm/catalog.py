@@ -1,15 +1,20 @@
 """The queries of this package by name, and the SQL of those that SQL can express."""
 
-from skyledger.llm import exact_dedup, packing, secrets, warc
+from skyledger.llm import decontaminate, exact_dedup, language, packing, quality, secrets, toxicity, warc
 
 QUERIES = {
     "op1_packing": packing.query,
     "op2_warc": warc.query,
+    "op4_decontaminate": decontaminate.query,
     "op5_secrets": secrets.query,
+    "op6_language": language.query,
+    "op8_toxicity": toxicity.query,
+    "op9_quality": quality.query,
     "op10_exact_dedup": exact_dedup.query,
 }
 
 ORACLE_SQL = {
     "op2_warc": warc.ORACLE,
+    "op4_decontaminate": decontaminate.ORACLE,
     "op10_exact_dedup": exact_dedup.ORACLE,
 }
