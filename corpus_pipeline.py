@@ -1,19 +1,57 @@
-"""The corpus pipeline: every stage is written as Parquet and read again as the next one's documents."""
+"""The corpus pipeline: language, exact copies, near copies, benchmark passages, packing.
+
+Every stage works on all that its predecessor kept; its result is written as Parquet and read again as
+the next one's documents. A stage takes (spark, docs, sf_dir). All but the last return the columns of
+``docs``, whatever they are; the last returns the packed pieces with their token ids.
+
+Rows are dropped by id. A row without an id can't be named by a verdict, so only the first stage, which
+judges rows where they are, drops such rows; the others keep them.
+"""
 
 from pyspark.sql import DataFrame, SparkSession
 
-from skyledger.llm.tables import stage, table, without
+from skyledger.llm import decontaminate as benchmark
 from skyledger.llm import exact_dedup as exact
+from skyledger.llm import language, near_dedup, packing
+from skyledger.llm.tables import stage, table, without
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language can be told; the models learn from the rows of ``docs`` that name one."""
+    return language.keep_identified(docs, language.learn(docs))
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of equal texts stays."""
+    """One document of each group of equal texts."""
     verdicts = stage(exact.exact_dedup(docs), "pipeline-exact")
     return without(docs, verdicts.where("not kept"))
 
 
-STAGES = [("exact_dedup", exact_dedup)]
-ORACLE_SQL = None
+def minhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group linked by a similarity of 0.8 on five-word shingles."""
+    verdicts = stage(near_dedup.near_groups(docs, 80, 100, words=5), "pipeline-near")
+    return without(docs, verdicts.where("not kept"))
+
+
+def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item."""
+    hits = stage(benchmark.contained_items(docs, table(spark, sf_dir, "benchmark")), "pipeline-benchmark")
+    return without(docs, hits)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sequences of a power of two tokens, none across documents."""
+    return packing.pack(docs)
+
+
+STAGES = [
+    ("language_id", language_id),
+    ("exact_dedup", exact_dedup),
+    ("near_dedup", minhash_near_dedup),
+    ("decontamination", benchmark_decontamination),
+    ("packing", pack),
+]
+ORACLE_SQL = None  # models and tokens are beyond SQL; tests compare the stages with brute force
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,13 +1,15 @@
 """The queries of this package by name, and the SQL of those that SQL can express."""
 
-from skyledger.llm import decontaminate, exact_dedup, language, packing, quality, secrets, toxicity, warc
+from skyledger.llm import decontaminate, exact_dedup, language, near_dedup, packing, quality, secrets, substring_dedup, toxicity, warc
 
 QUERIES = {
     "op1_packing": packing.query,
     "op2_warc": warc.query,
+    "op3_substring_dedup": substring_dedup.query,
     "op4_decontaminate": decontaminate.query,
     "op5_secrets": secrets.query,
     "op6_language": language.query,
+    "op7_near_dedup": near_dedup.query,
     "op8_toxicity": toxicity.query,
     "op9_quality": quality.query,
     "op10_exact_dedup": exact_dedup.query,

@@ -169,6 +169,24 @@ def identify(docs: DataFrame, models, id_col: str = "doc_id", text_col: str = "t
     return rows.mapInArrow(predict, schema)
 
 
+def keep_identified(docs: DataFrame, models, text_col: str = "text") -> DataFrame:
+    """``docs`` without the rows whose language can not be told (``und``)."""
+    place = docs.columns.index(text_col)
+    marked = docs.withColumn("__letter", F.coalesce(F.col(text_col).rlike(r"\p{L}"), F.lit(False)))
+
+    def keep(batches):
+        for batch in batches:
+            names = np.full(batch.num_rows, UNKNOWN, object)
+            if models:
+                for first, matrix in features(batch.column(place)):
+                    names[first : first + len(matrix)] = judge(models, matrix)[0]
+            sure = pa.array(names != UNKNOWN, pa.bool_()) if models else pa.array(np.ones(batch.num_rows, bool))
+            letters = batch.column(batch.num_columns - 1)
+            yield pa.RecordBatch.from_arrays(batch.columns[:-1], names=batch.schema.names[:-1]).filter(pc.and_(sure, letters))
+
+    return marked.mapInArrow(keep, docs.schema)
+
+
 def learn(docs: DataFrame, per_language: int = PER_LANGUAGE):
     """Models from documents that are not held out and have a language and a letter."""
     known = docs.where(~held_out(4, 2) & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))

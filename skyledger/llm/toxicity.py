@@ -35,11 +35,11 @@ PER_CLASS = 2500
 BUCKETS = 1 << 17
 DIMS = 8
 GRAMS = (3, 4, 5, 6)
-WINDOW = 12
-ROUNDS = 3
+WINDOW = 4
+ROUNDS = 4
 STEPS = 40
 RATE = 0.05
-DAMPING = 1.0
+DAMPING = 0.3
 CALIBRATION = 4
 SEED = 7
 THRESHOLD = 0.5

@@ -88,7 +88,7 @@ def words(data: np.ndarray, offsets: np.ndarray, separator: np.ndarray = SPACE,
 def runs(hashes: np.ndarray, n: int) -> np.ndarray:
     """Hash of the n words from each position on, for the ``len - n + 1`` positions that have them.
 
-    The hash of a + b words is ``mix(hash of a) * odd + hash of b``, built by doubling.
+    The hash of a + b words is ``mix(hash of a * odd + hash of b)``, built by doubling.
     """
     if len(hashes) < n:
         return np.zeros(0, np.uint64)
@@ -96,12 +96,12 @@ def runs(hashes: np.ndarray, n: int) -> np.ndarray:
     while True:
         if n & width:
             part = block[at:]
-            total = part if total is None else mix(total[: len(part)]) * _BASE + part[: len(total)]
+            total = part if total is None else mix(total[: len(part)] * _BASE + part[: len(total)])
             at += width
         width *= 2
         if width > n:
             break
-        block = mix(block[: len(block) - width // 2]) * _BASE + block[width // 2 :]
+        block = mix(block[: len(block) - width // 2] * _BASE + block[width // 2 :])
     return mix(total[: len(hashes) - n + 1] + np.uint64(n))
 
 
