@@ -36,9 +36,10 @@ def utf8_text(df: DataFrame, column: str) -> Column:
 def number(text: str) -> str:
     """Decimal, exponent, inf and nan forms as double; '' and anything else as NULL.
 
-    ``from_json`` keeps the quotes of JSON's bare NaN and Infinity, so outer quotes are taken off.
+    ``from_json`` puts quotes around JSON's bare NaN and Infinity; these spellings, and no other text
+    with quotes, are numbers.
     """
-    bare = f"""btrim({text}, '"')"""
+    bare = f"""CASE WHEN {text} IN ('"NaN"', '"Infinity"', '"-Infinity"') THEN btrim({text}, '"') ELSE {text} END"""
     return f"""CASE WHEN {text} RLIKE r'{PLAIN_NUMBER_SHAPE}' THEN try_cast({text} AS DOUBLE)
                     WHEN {bare} RLIKE r'{NUMBER_SHAPE}' THEN try_cast(replace({bare}, '_', '') AS DOUBLE) END"""
 

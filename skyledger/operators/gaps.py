@@ -13,7 +13,8 @@ def silent_spans(df: DataFrame, key: str, time: str, over_minutes: int) -> DataF
     and to look back from slot to slot. The slots are aggregated before the shuffle: a window holds
     at most one row per key and slot, whatever the number of events.
     """
-    slot = F.floor(F.unix_micros(time) / F.lit((over_minutes + 1) * MICROS_PER_MINUTE))
+    micros, width = f"unix_micros({time})", (over_minutes + 1) * MICROS_PER_MINUTE
+    slot = F.expr(f"({micros} - pmod({micros}, {width})) div {width}")
     slots = df.groupBy(key, slot.alias("slot")).agg(
         F.min(time).alias("first_time"), F.max(time).alias("last_time")
     )

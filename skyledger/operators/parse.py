@@ -34,5 +34,9 @@ def parse_payloads(messages: DataFrame, fields: T.StructType, value: str = "valu
     parsed = materialise(text, objects, "objects") if hold else text.withColumn("objects", objects)
     member = F.concat(F.lit('{"whole":'), F.col("raw_payload"), F.lit("}"))
     checked = F.from_json(member, "whole STRING, broken STRING", {**STRICT_JSON, "columnNameOfCorruptRecord": "broken"})
-    is_one = (F.size("objects") == 1) & (~F.col("raw_payload").contains("]") | checked["broken"].isNull())
+    # Spark's parser also takes +INF, -INF, INF and +Infinity as numbers; outside strings they are no JSON.
+    foreign = r"\+I|INF"
+    outside = F.regexp_replace("raw_payload", r'(?s)"(?:[^"\\]|\\.)*"', '""')
+    is_foreign = F.col("raw_payload").rlike(foreign) & outside.rlike(foreign)
+    is_one = ~is_foreign & (F.size("objects") == 1) & (~F.col("raw_payload").contains("]") | checked["broken"].isNull())
     return parsed.select("raw_payload", F.when(is_one, F.col("objects")[0]).alias("message"))

@@ -97,7 +97,7 @@ def gold_contact_gaps(telemetry: DataFrame) -> DataFrame:
         .otherwise(fv.MINOR_GAP)
     )
     spans = silent_spans(telemetry, "satellite_id", "event_timestamp", fv.GAP_OVER_MINUTES)
-    return spans.withColumn("gap_severity", severity).orderBy(F.desc("gap_minutes"))
+    return spans.withColumn("gap_severity", severity).orderBy(F.desc("gap_minutes"), "satellite_id", "gap_start")
 
 
 def gold_data_completeness(

@@ -7,14 +7,14 @@ from pyspark.sql import DataFrame, functions as F
 from skyledger import fixed_values as fv
 from skyledger.operators.dedup import dedup_batch, event_span, without_known
 from skyledger.plans import gold, ingest, silver
-from skyledger.session import shared_dir
+from skyledger.session import remove_folder, shared_dir
 from skyledger.sources.layers import Layers
 
 PARALLEL_TABLES = 4
 
 
-def stage(messages: DataFrame, as_of: str | None = None) -> DataFrame:
-    """Parse and validate once, and keep the outcome in the shared folder.
+def stage(messages: DataFrame, path: str, as_of: str | None = None) -> DataFrame:
+    """Parse and validate once, and keep the outcome in a shared folder, ``path``.
 
     Quarantine and curated both start here. The stored form holds typed columns, and the payload
     text of rejected rows only (the raw table has all), so it is much smaller than the messages.
@@ -22,7 +22,6 @@ def stage(messages: DataFrame, as_of: str | None = None) -> DataFrame:
     spark = messages.sparkSession
     checked = ingest.validated(messages, as_of)
     is_valid = F.col("reason_code").isNull()
-    path = shared_dir(spark, "validated")
     (
         checked.withColumn("raw_payload", F.when(~is_valid, F.col("raw_payload")))
         .withColumn("is_valid", is_valid)
@@ -34,11 +33,15 @@ def stage(messages: DataFrame, as_of: str | None = None) -> DataFrame:
 def ingest_batch(messages: DataFrame, layers: Layers, as_of: str | None = None) -> None:
     """raw, quarantine and curated. Readings that an earlier batch stored are not stored again."""
     layers.append(ingest.raw_envelope(messages, as_of), "telemetry_raw")
-    staged = stage(messages, as_of)
-    layers.append(ingest.quarantined(staged.filter(~F.col("is_valid")), as_of), "telemetry_quarantine")
-    new = ingest.accepted(staged.filter("is_valid"), as_of)
-    unseen = without_known(dedup_batch(new), layers.read("telemetry_curated"), event_span(new))
-    layers.append(unseen, "telemetry_curated")
+    path = shared_dir(messages.sparkSession, "validated")
+    try:
+        staged = stage(messages, path, as_of)
+        layers.append(ingest.quarantined(staged.filter(~F.col("is_valid")), as_of), "telemetry_quarantine")
+        new = ingest.accepted(staged.filter("is_valid"), as_of)
+        unseen = without_known(dedup_batch(new), layers.read("telemetry_curated"), event_span(new))
+        layers.append(unseen, "telemetry_curated")
+    finally:
+        remove_folder(messages.sparkSession, path)
 
 
 def replace_all(layers: Layers, tables: dict[str, DataFrame]) -> None:

@@ -102,13 +102,18 @@ class Layers:
         if self.exists(table) and not self._is_streamed(table) and self.read(table).inputFiles():
             raise ValueError(f"table {table} holds batch files; give the stream its own root")
 
-    def read(self, table: str) -> DataFrame:
-        """The table's own columns; filters on its day column also prune partitions by ``DAY``."""
+    def read(self, table: str, days: tuple[str, str] | None = None) -> DataFrame:
+        """The table's own columns. ``days`` (first, last) reads only the partitions of these days."""
         layout = LAYOUTS[table]
         reader = self.spark.read
         if layout.schema is not None:
             reader = reader.schema(T.StructType(layout.schema.fields + [T.StructField(DAY, T.DateType())]))
-        return reader.parquet(self.path(table)).drop(DAY)
+        stored = reader.parquet(self.path(table))
+        if days:
+            if not layout.day_of:
+                raise ValueError(f"table {table} is not stored by day")
+            stored = stored.filter(F.col(DAY).between(*[F.lit(d).cast("date") for d in days]))
+        return stored.drop(DAY)
 
     def append(self, df: DataFrame, table: str) -> None:
         """Add rows to an existing table with a declared schema."""

@@ -45,6 +45,10 @@ class Telemetry:
     def curated(self) -> DataFrame:
         return ingest.curated(self.messages, AS_OF)
 
+    @property
+    def accepted(self) -> DataFrame:
+        return ingest.accepted(self.checked, AS_OF)
+
     @property
     def silver(self) -> DataFrame:
         return silver.silver_telemetry(self.curated)
@@ -87,12 +91,9 @@ class Telemetry:
     def streamed(self, table: str) -> DataFrame:
         """Run one table's stream over all events, then read what it wrote."""
         session = prepare(self.spark.newSession())
-        cores = session.sparkContext.defaultParallelism
-        partitions = min(int(session.conf.get("spark.sql.shuffle.partitions")), 2 * cores)
-        session.conf.set("spark.sql.shuffle.partitions", partitions)
         events = (
             session.readStream.schema(EVENT_COLUMNS).option("pathGlobFilter", "events.parquet")
-            .parquet(self.sf_dir).repartition(cores, "event_id")
+            .parquet(self.sf_dir)
         )
         layers = Layers(session, shared_dir(session, "stream-layers"))
         streaming.drain(
@@ -109,7 +110,7 @@ QUERIES: dict[str, Query] = {
     "reason_counts": lambda t: t.checked.groupBy("reason_code", "reason_detail").agg(
         F.count("*").alias("message_count")),
     "quarantine": lambda t: t.quarantine,
-    "accepted_readings": lambda t: ingest.accepted(t.checked, AS_OF),
+    "accepted_readings": lambda t: t.accepted,
     "curated": lambda t: t.curated,
     "curated_from_numbers": lambda t: ingest.curated(messages(t.events, numeric=True), AS_OF),
     "curated_from_csv": lambda t: t.curated_from_csv(),
@@ -120,8 +121,8 @@ QUERIES: dict[str, Query] = {
     "silver_comms": lambda t: t.comms,
     "silver_orbital": lambda t: silver.silver_orbital(t.silver),
     # gold
-    "dim_satellite": lambda t: gold.dim_satellite(t.silver.select("satellite_id").distinct()),
-    "dim_ground_station": lambda t: gold.dim_ground_station(t.silver.select("ground_station_id").distinct()),
+    "dim_satellite": lambda t: gold.dim_satellite(t.accepted.select("satellite_id").distinct()),
+    "dim_ground_station": lambda t: gold.dim_ground_station(t.accepted.select("ground_station_id").distinct()),
     "fact_telemetry": lambda t: gold.fact_telemetry(t.silver),
     "gold_satellite_health": lambda t: gold.gold_satellite_health(t.silver),
     "gold_communication_health": lambda t: t.comm_health,
@@ -144,6 +145,7 @@ QUERIES: dict[str, Query] = {
     # stored layers
     "stored_tables": lambda t: refresh.row_counts(t.refreshed(), STORED_TABLES),
     "stored_satellite_health": lambda t: t.refreshed().read("gold_satellite_health"),
+    "stored_day_range": lambda t: t.refreshed().read("silver_telemetry", days=("2024-01-05", "2024-01-09")),
     "redelivered_batch": lambda t: t.redelivered(),
     # streams
     "stream_raw": lambda t: t.streamed("telemetry_raw"),

@@ -332,6 +332,8 @@ def all_queries() -> dict[str, str]:
         "quarantine": query("select * from quarantine"),
         "accepted_readings": query("select * from accepted"),
         "curated": query("select * from curated"),
+        "stored_day_range": query(
+            "select * from silver where event_timestamp >= timestamp '2024-01-05' and event_timestamp < timestamp '2024-01-10'"),
         "curated_from_numbers": query("select * from curated"),
         "silver_telemetry": query("select * from silver"),
         "dim_satellite": query("""

@@ -15,12 +15,9 @@ EVENT_COLUMNS = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type s
 
 
 def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The events. A few compact files make fewer tasks than cores, so those are spread first."""
+    """The columns of the events that messages are made from; file splits decide the number of tasks."""
     events = spark.read.schema(EVENT_COLUMNS).parquet(f"{sf_dir}/events.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    if len(events.inputFiles()) < cores:
-        events = events.select("event_id", "ts", "user_id", "event_type").repartition(cores, "event_id")
-    return events
+    return events.select("event_id", "ts", "user_id", "event_type")
 
 
 def _steps(modulus: int, size: float, start: float) -> str:

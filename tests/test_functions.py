@@ -56,7 +56,8 @@ def python_float(text):
 
 def test_numbers(spark):
     texts = ["1", "-1.5", "+2", ".5", "5.", "1e3", "1E-3", "1_000", "1__0", "_1", " 7 ", "inf", "-inf", "Infinity",
-             "nan", "1e400", "", "x", "1d", "1f", "0x1p3", "true", "1,5", "--1", "1e", "e1", "."]
+             "nan", "1e400", "", "x", "1d", "1f", "0x1p3", "true", "1,5", "--1", "1e", "e1", ".",
+             '"28"', '28"', '"""28', '""', '"nan"']
     got = spark.createDataFrame([(t,) for t in texts], "t string").select("t", F.expr(number("t")).alias("x")).collect()
     same = lambda a, b: a == b or (a is not None and b is not None and math.isnan(a) and math.isnan(b))
     wrong = [(r.t, r.x, python_float(r.t)) for r in got if not same(r.x, python_float(r.t))]

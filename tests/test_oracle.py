@@ -1,13 +1,16 @@
 """Every registered query against its SQL in DuckDB, on the smallest data."""
 
+from functools import partial
+
 import duckdb
 import pytest
 from conftest import DATA
 
 import __spark_entry__ as entry_points
+from skyledger.workload import catalog, oracle
 
-QUERIES = entry_points.queries()
-SQL = entry_points.oracle_sql()
+QUERIES = {name: partial(catalog.run, name) for name in catalog.QUERIES}
+SQL = oracle.all_queries()
 
 
 @pytest.fixture(scope="module")
@@ -23,6 +26,7 @@ def comparable(rows):
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(entry_points.queries()) and set(SQL) <= set(entry_points.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))

@@ -151,3 +151,13 @@ def test_quarantine_and_curated_split_all_rows(messages):
     assert rejected["OUT_OF_PHYSICAL_RANGE"].event_timestamp is not None
     kept = ingest.accepted(checked, AS_OF).collect()
     assert [(r.message_id, r.source_ground_station, r.pipeline_version) for r in kept] == [("m1", "GS-1", "1.0.0")]
+
+
+def test_foreign_infinities_are_no_json(spark, messages):
+    """Python's parser takes NaN, Infinity and -Infinity, and no other spelling; texts may hold any."""
+    base = json.loads(payload())
+    for token, code in [("+INF", "INVALID_JSON"), ("-INF", "INVALID_JSON"), ("+Infinity", "INVALID_JSON"), ("INF", "INVALID_JSON")]:
+        text = json.dumps(base)[:-1] + ', "extra": ' + token + "}"
+        assert [r.reason_code for r in ingest.validated(messages([text.encode()]), AS_OF).collect()] == [code]
+    text = json.dumps(base | {"extra": '+INF " -INF'})
+    assert [r.reason_code for r in ingest.validated(messages([text.encode()]), AS_OF).collect()] == [None]

@@ -152,3 +152,21 @@ def test_late_rows_and_late_copies(spark, tmp_path, spread):
     kept = sorted(r.message_id for r in spark.read.parquet(str(tmp_path / "out")).collect())
     assert kept == ["a", "b", "c", "in-time"]
     assert streaming.late_rows(query) >= 1
+
+
+def test_day_range_reads_only_its_partitions(spark, messages, tmp_path):
+    layers = Layers(spark, str(tmp_path))
+    refresh.refresh(messages(batch()), layers, AS_OF)
+    found = layers.read("silver_telemetry", days=("2026-08-02", "2026-08-02"))
+    assert found.count() == 4 and "partition_date" not in found.columns
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(partition_date" in plan
+    with pytest.raises(ValueError, match="not stored by day"):
+        layers.read("dim_satellite", days=("2026-08-02", "2026-08-02"))
+
+
+def test_a_batch_leaves_no_staged_rows(spark, messages, tmp_path, monkeypatch):
+    monkeypatch.setattr(refresh, "shared_dir", lambda _, purpose: f"{tmp_path}/{purpose}-x")
+    layers = Layers(spark, f"{tmp_path}/layers")
+    refresh.refresh(messages(batch()), layers, AS_OF)
+    assert not (tmp_path / "validated-x").exists()
