@@ -146,17 +146,10 @@ def confirmed(pairs: DataFrame, sets: DataFrame, numerator: int, denominator: in
     """Those of the pairs (a, b) whose full sets are similar enough."""
     side = lambda name: sets.select(F.col("doc_id").alias(f"{name}_id"), F.col("shingles").alias(f"{name}_set"))
     both = pairs.join(side("a"), F.col("a") == F.col("a_id")).join(side("b"), F.col("b") == F.col("b_id"))
-
-    def check(batches):
-        for batch in batches:
-            keep = []
-            for left, right in zip(batch.column(2), batch.column(3), strict=True):
-                x, y = left.values.to_numpy(), right.values.to_numpy()
-                common = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(denominator * common >= numerator * (len(x) + len(y) - common))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
-
-    return stage(both.select("a", "b", "a_set", "b_set").mapInArrow(check, "a long, b long"), "near-links")
+    # In the JVM row by row: an Arrow batch of pairs would hold two full sets for each of its rows.
+    common = F.size(F.array_intersect("a_set", "b_set")).cast("long")
+    similar = denominator * common >= numerator * (F.size("a_set") + F.size("b_set") - common)
+    return stage(both.where(similar).select("a", "b"), "near-links")
 
 
 def shingle_postings(sets: DataFrame, numerator: int, denominator: int) -> DataFrame:
