@@ -58,18 +58,20 @@ def build_silver(layers: Layers) -> None:
     replace_all(layers, {build.__name__: build(telemetry) for build in splits})
 
 
-def build_gold(layers: Layers, grid_start: str = fv.GRID_START, grid_end: str = fv.GRID_END) -> None:
+def build_gold(layers: Layers, grid_start: str = fv.GRID_START, grid_end: str = fv.GRID_END, **grid) -> None:
+    """``grid`` holds what else ``gold_data_completeness`` takes: fleet, minutes a step, readings a tick."""
     spark = layers.spark
+    satellites = grid.get("satellites", fv.SATELLITES)
     telemetry, quarantine = layers.read("silver_telemetry"), layers.read("telemetry_quarantine")
     replace_all(layers, {
-        "dim_satellite": gold.dim_satellite(gold.inline_ids(spark, "satellite_id", fv.SATELLITES)),
+        "dim_satellite": gold.dim_satellite(gold.inline_ids(spark, "satellite_id", satellites)),
         "dim_ground_station": gold.dim_ground_station(
             gold.inline_ids(spark, "ground_station_id", fv.GROUND_STATIONS)),
         "fact_telemetry": gold.fact_telemetry(telemetry),
         "gold_satellite_health": gold.gold_satellite_health(telemetry),
         "gold_communication_health": gold.gold_communication_health(layers.read("silver_comms")),
         "gold_contact_gaps": gold.gold_contact_gaps(telemetry),
-        "gold_data_completeness": gold.gold_data_completeness(telemetry, grid_start, grid_end),
+        "gold_data_completeness": gold.gold_data_completeness(telemetry, grid_start, grid_end, **grid),
         "gold_data_quality": gold.gold_data_quality(quarantine),
         "gold_pipeline_quality": gold.gold_pipeline_quality(
             layers.read("telemetry_raw"), telemetry, quarantine),
@@ -78,13 +80,13 @@ def build_gold(layers: Layers, grid_start: str = fv.GRID_START, grid_end: str =
 
 def refresh(
     messages: DataFrame, layers: Layers, as_of: str | None = None,
-    grid_start: str = fv.GRID_START, grid_end: str = fv.GRID_END,
+    grid_start: str = fv.GRID_START, grid_end: str = fv.GRID_END, **grid,
 ) -> None:
     """One run of everything."""
     layers.create()
     ingest_batch(messages, layers, as_of)
     build_silver(layers)
-    build_gold(layers, grid_start, grid_end)
+    build_gold(layers, grid_start, grid_end, **grid)
 
 
 def row_counts(layers: Layers, tables: list[str]) -> DataFrame:

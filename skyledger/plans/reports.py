@@ -112,3 +112,21 @@ def dataset_profile(received: DataFrame) -> DataFrame:
 
 def rows_per_satellite(received: DataFrame) -> DataFrame:
     return received.groupBy("satellite_id").agg(F.count("*").alias("row_count"))
+
+
+STORED_REPORTS = {
+    mission_operations_dashboard: "gold_satellite_health",
+    communication_by_satellite: "gold_communication_health",
+    weakest_communication_satellite: "gold_communication_health",
+    satellite_telemetry_volume: "silver_telemetry",
+    battery_health: "silver_power",
+    communication_signal: "silver_comms",
+    subsystem_alerts: "telemetry_quarantine",
+}
+
+
+def publish_reports(layers) -> list[str]:
+    """Make every report over stored tables readable from the session's SQL, as a view of its own name."""
+    for report, table in STORED_REPORTS.items():
+        report(layers.read(table)).createOrReplaceTempView(report.__name__)
+    return [report.__name__ for report in STORED_REPORTS]

@@ -5,6 +5,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from skyledger import schemas
+from skyledger.session import remove_folder
 
 DAY = "partition_date"
 
@@ -75,9 +76,23 @@ class Layers:
         self.spark = spark
         self.root = root.rstrip("/")
 
-    def path(self, table: str) -> str:
+    def folder(self, table: str) -> str:
         return f"{self.root}/{LAYOUTS[table].layer}/{table}"
 
+    def path(self, table: str) -> str:
+        """Where the rows of a table are now: an appended table's folder, a rebuilt table's newest whole version."""
+        whole = [number for number, done in self._versions(table) if done]
+        return f"{self.folder(table)}/v{whole[-1]}" if whole else self.folder(table)
+
+    def _versions(self, table: str) -> list[tuple[int, bool]]:
+        """(number, written to the end) of a rebuilt table's versions. Spark marks a folder last of all, when it commits."""
+        if LAYOUTS[table].schema is not None or not self._has(self.folder(table)):
+            return []
+        target = self.spark._jvm.org.apache.hadoop.fs.Path(self.folder(table))
+        names = [f.getPath().getName() for f in target.getFileSystem(self.spark._jsc.hadoopConfiguration()).listStatus(target)]
+        numbers = sorted(int(name[1:]) for name in names if name[:1] == "v" and name[1:].isdigit())
+        return [(number, self._has(f"{self.folder(table)}/v{number}/_SUCCESS")) for number in numbers]
+
     def create(self) -> "Layers":
         """Make the append tables, empty, so that readers and appends find them."""
         for table, layout in LAYOUTS.items():
@@ -125,17 +140,32 @@ class Layers:
         self._write(arranged(schemas.conform(df, layout.schema), layout), table, "append")
 
     def replace(self, df: DataFrame, table: str) -> None:
-        """Rebuild a table in full."""
-        self._write(arranged(df, LAYOUTS[table]), table, "overwrite")
-
-    def _write(self, df: DataFrame, table: str, mode: str) -> None:
+        """Rebuild a table in full, as a new version beside the one that readers still use.
+
+        A write that fails leaves the old version in place. The version before the new one is kept for readers
+        and names that hold it; older and unfinished ones go. One writer a table at a time.
+        """
+        if LAYOUTS[table].schema is not None:
+            raise ValueError(f"table {table} is appended to, not replaced")
+        before = self._versions(table)
+        number = before[-1][0] + 1 if before else 1
+        self._write(arranged(df, LAYOUTS[table]), table, "errorifexists", f"{self.folder(table)}/v{number}")
+        kept = max((old for old, done in before if done), default=None)
+        for old, _ in before:
+            if old != kept:
+                remove_folder(self.spark, f"{self.folder(table)}/v{old}")
+
+    def _write(self, df: DataFrame, table: str, mode: str, path: str | None = None) -> None:
         writer = df.write.mode(mode)
         if LAYOUTS[table].day_of:
             writer = writer.partitionBy(DAY)
-        writer.parquet(self.path(table))
+        writer.parquet(path or self.folder(table))
 
     def publish(self, prefix: str = "") -> list[str]:
-        """Make every stored table readable by name: database per layer, table over its folder."""
+        """Make every stored table readable by name: database per layer, table over its folder.
+
+        A name keeps to the version it was published with, so publish after each refresh.
+        """
         published = []
         for layer in LAYER_NAMES:
             self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{prefix}{layer}`")

@@ -69,10 +69,38 @@ def drain(messages: DataFrame, layers: Layers, checkpoints: str, **options) -> d
     return queries
 
 
-def late_rows(query: StreamingQuery) -> int:
-    """Rows dropped as too late, over the progress reports the query still holds."""
-    return sum(
-        operator["numRowsDroppedByWatermark"]
-        for progress in query.recentProgress
-        for operator in progress["stateOperators"]
-    )
+class LateRows:
+    """Rows that a query dropped as too late, from its start on.
+
+    Spark holds only the newest progress reports. ``update`` adds up those that came since the last call, each
+    micro-batch once; when reports were lost between two calls it raises and never returns a smaller count.
+    """
+
+    def __init__(self, query: StreamingQuery):
+        self.query = query
+        self.total = 0
+        self.batch = None  # the newest micro-batch counted, and its rows so far
+        self.rows = 0
+
+    def update(self) -> int:
+        for progress in self.query.recentProgress:
+            number = progress["batchId"]
+            rows = sum(o["numRowsDroppedByWatermark"] for o in progress["stateOperators"])
+            if self.batch is not None and number <= self.batch:
+                more = max(rows - self.rows, 0) if number == self.batch else 0  # idle reports repeat a number
+                self.rows += more
+                self.total += more
+                continue
+            if self.batch is not None and number > self.batch + 1:
+                raise RuntimeError(f"reports of batches {self.batch + 1} to {number - 1} are gone; update more often")
+            self.batch, self.rows = number, rows
+            self.total += rows
+        return self.total
+
+
+def watch(query: StreamingQuery, every: float = 10.0) -> int:
+    """Wait until the query ends; all rows it dropped as too late. The wait must see every report once."""
+    late = LateRows(query)
+    while not query.awaitTermination(every):
+        late.update()
+    return late.update()

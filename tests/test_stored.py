@@ -7,8 +7,8 @@ import pytest
 from conftest import AS_OF, payload, record
 from pyspark.sql import functions as F
 
-from skyledger import schemas
-from skyledger.plans import ingest, refresh
+from skyledger import job, schemas
+from skyledger.plans import ingest, refresh, reports
 from skyledger.sources.layers import LAYOUTS, Layers
 from skyledger.sources.messages import read_batch, read_received_csv, read_stream, to_messages
 from skyledger.streaming import ingest as streaming
@@ -151,7 +151,7 @@ def test_late_rows_and_late_copies(spark, tmp_path, spread):
     query.awaitTermination()
     kept = sorted(r.message_id for r in spark.read.parquet(str(tmp_path / "out")).collect())
     assert kept == ["a", "b", "c", "in-time"]
-    assert streaming.late_rows(query) >= 1
+    assert streaming.LateRows(query).update() == 1
 
 
 def test_day_range_reads_only_its_partitions(spark, messages, tmp_path):
@@ -170,3 +170,80 @@ def test_a_batch_leaves_no_staged_rows(spark, messages, tmp_path, monkeypatch):
     layers = Layers(spark, f"{tmp_path}/layers")
     refresh.refresh(messages(batch()), layers, AS_OF)
     assert not (tmp_path / "validated-x").exists()
+
+
+def test_late_rows_are_counted_beyond_the_reports_held(spark):
+    class Query:
+        recentProgress = []
+
+    def report(number, rows):
+        return {"batchId": number, "stateOperators": [{"numRowsDroppedByWatermark": rows}]}
+
+    query, late = Query(), None
+    late = streaming.LateRows(query)
+    for held, total in [
+        ([(0, 1), (1, 2)], 3), ([(1, 2), (2, 4)], 7), ([(2, 4), (3, 0)], 7),
+        ([(3, 0), (3, 5)], 12), ([(3, 5), (4, 1)], 13), ([(4, 1), (4, 0)], 13),
+    ]:
+        query.recentProgress = [report(*h) for h in held]
+        assert late.update() == total and late.update() == total
+    query.recentProgress = [report(6, 0)]
+    with pytest.raises(RuntimeError, match="batches 5 to 5"):
+        late.update()
+
+
+def test_watch_counts_with_two_reports_held(spark, tmp_path):
+    def at(clock, message_id):
+        return json.dumps(record("POWER", message_id=message_id, event_timestamp=f"2026-08-01T{clock}:00Z",
+                                 received_timestamp="2026-08-02T00:00:00Z")).encode()
+
+    files = [[at("03:00", "a")], [at("03:01", "b")], [at("00:30", "late")]] + [[at(f"03:1{n}", f"c{n}")] for n in range(4)]
+    stream = read_stream(spark, "text", write_files(tmp_path / "in", files), maxFilesPerTrigger=1)
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "2")
+    try:
+        query = (
+            streaming.stream_curated(stream, AS_OF).writeStream.format("parquet")
+            .option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "c"))
+            .trigger(availableNow=True).start()
+        )
+        assert streaming.watch(query, 0.05) == 1
+        assert len(query.recentProgress) < len(files)  # Spark no longer holds them all
+    finally:
+        spark.conf.unset("spark.sql.streaming.numRecentProgressUpdates")
+
+
+def test_a_failed_replace_keeps_the_old_table(spark, tmp_path):
+    layers = Layers(spark, str(tmp_path))
+    rows = lambda n: spark.range(n).select(F.col("id").cast("string").alias("satellite_id"))
+    layers.replace(rows(3), "dim_satellite")
+    old = layers.read("dim_satellite")
+    with pytest.raises(Exception, match="on purpose"):
+        layers.replace(rows(5).withColumn("x", F.raise_error(F.lit("on purpose"))), "dim_satellite")
+    assert layers.read("dim_satellite").count() == 3
+    layers.replace(rows(4), "dim_satellite")
+    assert layers.read("dim_satellite").count() == 4
+    assert old.count() == 3  # a reader of the version before still finds its files
+    layers.replace(layers.read("dim_satellite").limit(2), "dim_satellite")
+    assert layers.read("dim_satellite").count() == 2
+    assert len(list((tmp_path / "gold" / "dim_satellite").iterdir())) == 2
+    with pytest.raises(ValueError, match="appended to"):
+        layers.replace(rows(1), "telemetry_raw")
+
+
+def test_jobs_and_named_reports(spark, tmp_path):
+    folder = write_files(tmp_path / "in", [batch()])
+    root = str(tmp_path / "layers")
+    job.main(["batch", "--root", root, "--path", folder, "--as-of", AS_OF, "--publish", "t2_",
+              "--satellites", "SAT-01,SAT-02", "--grid-start", "2026-08-01", "--grid-end", "2026-08-02"])
+    layers = Layers(spark, root)
+    assert {r.satellite_id for r in layers.read("gold_data_completeness").collect()} == {"SAT-01", "SAT-02"}
+    assert spark.sql("SELECT count(*) FROM t2_gold.dim_satellite").first()[0] == 2
+    assert "weakest_communication_satellite" in reports.publish_reports(layers)
+    assert spark.sql("SELECT satellite_id FROM weakest_communication_satellite").first()[0] == "SAT-01"
+    assert spark.sql("SELECT count(*) FROM subsystem_alerts").first()[0] > 0
+
+    live = str(tmp_path / "live")
+    late = job.main(["stream", "--root", live, "--path", folder, "--as-of", AS_OF, "--until-empty",
+                     "--checkpoints", str(tmp_path / "checkpoints")])
+    assert late == {"telemetry_raw": 0, "telemetry_quarantine": 0, "telemetry_curated": 0}
+    assert Layers(spark, live).read("telemetry_curated").count() == 12
