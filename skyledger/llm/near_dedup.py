@@ -41,6 +41,7 @@ from skyledger.llm.tables import key_filter, stage, table, with_filter
 COORDINATES = 32
 MATCHES = 16
 WORDS = 3
+SET_BATCH = 1 << 17  # shingles in an Arrow batch of sets, but for the last set
 _RNG = np.random.default_rng(20)
 _ODD = _RNG.integers(0, 1 << 63, COORDINATES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _ADD = _RNG.integers(0, 1 << 63, COORDINATES, dtype=np.uint64)
@@ -130,13 +131,14 @@ def full_sets(docs: DataFrame, ids: DataFrame, words: int) -> DataFrame:
 
     def collect(batches):
         for batch in batches:
-            rows, sets = [], []
+            rows, sets, held = [], [], 0
             for row, values in _sets(batch.column(1), words):
                 rows.append(row)
                 sets.append(values.view(np.int64))
-                if len(rows) == 500:
+                held += len(values)
+                if held >= SET_BATCH:
                     yield _held(batch, rows, sets)
-                    rows, sets = [], []
+                    rows, sets, held = [], [], 0
             yield _held(batch, rows, sets)
 
     return stage(wanted.mapInArrow(collect, "doc_id long, shingles array<long>"), "near-sets")
