@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from skyledger.llm import wordhash as wh
-from skyledger.llm.tables import table, union_all
+from skyledger.llm.tables import map_arrow, table, union_all
 
 WORDS = 5
 THRESHOLD = 0.8
@@ -130,7 +130,7 @@ def contained_items(
                     names=schema.names,
                 )
 
-        return rows.mapInArrow(search, schema)
+        return map_arrow(rows, search, schema)
 
     item_type = pa.string() if isinstance(items.schema["item_id"].dataType, T.StringType) else pa.int64()
     return union_all([one(b) for b in range(blocks)])

@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 
 from skyledger.llm import wordhash as wh
 from skyledger.llm.samples import bounded_sample, held_out
-from skyledger.llm.tables import table
+from skyledger.llm.tables import map_arrow, table
 
 PER_LANGUAGE = 800
 DIMS = 4096
@@ -110,7 +110,7 @@ def train(sample: DataFrame) -> dict[str, tuple[list[str], np.ndarray, np.ndarra
             "weights": [w.astype(np.float32).tobytes() for w, _ in fitted], "bias": [b for _, b in fitted],
         })
 
-    described = sample.select(F.col("cls"), "text").mapInArrow(describe, "model string, cls string, vector binary")
+    described = map_arrow(sample.select(F.col("cls"), "text"), describe, "model string, cls string, vector binary")
     found = described.groupBy("model").applyInPandas(fit, "model string, cls string, weights binary, bias double").collect()
     models = {}
     for name in {r.model for r in found}:
@@ -166,7 +166,7 @@ def identify(docs: DataFrame, models, id_col: str = "doc_id", text_col: str = "t
                 [batch.column(0), pa.array(names, pa.string()), pa.array(np.clip(scores, 0, 1).astype(float))], names=schema.names
             )
 
-    return rows.mapInArrow(predict, schema)
+    return map_arrow(rows, predict, schema)
 
 
 def keep_identified(docs: DataFrame, models, text_col: str = "text") -> DataFrame:
@@ -184,7 +184,7 @@ def keep_identified(docs: DataFrame, models, text_col: str = "text") -> DataFram
             letters = batch.column(batch.num_columns - 1)
             yield pa.RecordBatch.from_arrays(batch.columns[:-1], names=batch.schema.names[:-1]).filter(pc.and_(sure, letters))
 
-    return marked.mapInArrow(keep, docs.schema)
+    return map_arrow(marked, keep, docs.schema)
 
 
 def learn(docs: DataFrame, per_language: int = PER_LANGUAGE):

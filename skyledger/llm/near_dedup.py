@@ -36,7 +36,7 @@ from pyspark.sql import types as T
 
 from skyledger.llm import wordhash as wh
 from skyledger.llm.components import components
-from skyledger.llm.tables import key_filter, stage, table, with_filter
+from skyledger.llm.tables import key_filter, map_arrow, stage, table, with_filter
 
 COORDINATES = 32
 MATCHES = 16
@@ -87,7 +87,7 @@ def sketch(docs: DataFrame, words: int = WORDS) -> DataFrame:
                 names=schema.names,
             )
 
-    return docs.mapInArrow(describe, schema)
+    return map_arrow(docs, describe, schema)
 
 
 def _nibbles(part: Column) -> Column:
@@ -141,7 +141,7 @@ def full_sets(docs: DataFrame, ids: DataFrame, words: int) -> DataFrame:
                     rows, sets, held = [], [], 0
             yield _held(batch, rows, sets)
 
-    return stage(wanted.mapInArrow(collect, "doc_id long, shingles array<long>"), "near-sets")
+    return stage(map_arrow(wanted, collect, "doc_id long, shingles array<long>"), "near-sets")
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, numerator: int, denominator: int) -> DataFrame:

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from skyledger.llm.tables import table
+from skyledger.llm.tables import map_arrow, table
 from skyledger.llm.wordhash import text_slices
 
 MAX_LEN = 4096
@@ -154,7 +154,7 @@ def pack(
                     names=["doc_id", "start", "length", "doc_tokens", "ids"],
                 )
 
-    return rows.mapInArrow(cut, schema).withColumns({
+    return map_arrow(rows, cut, schema).withColumns({
         "bucket": F.col("length"), "sequence_id": F.monotonically_increasing_id(), "offset": F.lit(0).cast("long"),
     })
 

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from skyledger.llm.samples import bounded_sample, held_out, label_classes
-from skyledger.llm.tables import table
+from skyledger.llm.tables import map_arrow, table
 
 PER_CLASS = 2000
 CHUNK = 1024
@@ -107,7 +107,7 @@ def learn(sample: DataFrame, counts: dict[str, int]) -> dict:
             )
 
     odd = sample.where("rank % 2 = 1").select("cls", "text")
-    found = odd.mapInArrow(measure, "cls string, difference double").toPandas()
+    found = map_arrow(odd, measure, "cls string, difference double").toPandas()
     y = (found["cls"] == "1").to_numpy()
     seen = {c: max(1, int((found["cls"] == c).sum())) for c in ("0", "1")}
     weights = np.where(y, counts["1"] / seen["1"], counts["0"] / seen["0"])
@@ -128,7 +128,7 @@ def score(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str =
             margin = np.clip(model["slope"] * found + model["intercept"], -30, 30)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(1 / (1 + np.exp(-margin)))], names=schema.names)
 
-    return rows.mapInArrow(measure, schema)
+    return map_arrow(rows, measure, schema)
 
 
 def labelled(docs: DataFrame, classes: DataFrame, per_class: int) -> tuple[DataFrame, dict[str, int]]:

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from skyledger.llm import wordhash as wh
-from skyledger.llm.tables import key_filter, stage, table, union_all, with_filter
+from skyledger.llm.tables import key_filter, map_arrow, stage, table, union_all, with_filter
 
 WINDOW = 20
 GRAM = 8
@@ -96,9 +96,9 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, bi
                     names=["rank", "anchor", "first", "hashes"],
                 )
 
-    anchors = docs.mapInArrow(anchors_of, "anchor long")
+    anchors = map_arrow(docs, anchors_of, "anchor long")
     repeated = anchors.groupBy("anchor").count().where("count > 1")
-    stretches = docs.mapInArrow(windows_of, "rank long, anchor long, first int, hashes array<long>")
+    stretches = map_arrow(docs, windows_of, "rank long, anchor long, first int, hashes array<long>")
     possible = with_filter(stretches, [F.col("anchor")], key_filter(repeated, ["anchor"], bits), "maybe", bits).where("maybe")
     windows = stage(
         possible.select("rank", "first", F.posexplode("hashes").alias("step", "window"))
@@ -164,8 +164,8 @@ def remove_repeats(
 
     columns = ["doc_id", "text", "starts"]
     return union_all([
-        touched.select(*columns).mapInArrow(cut, schema),
-        marked.where("not maybe").select("doc_id", "text", none.alias("starts")).mapInArrow(cut, schema),
+        map_arrow(touched.select(*columns), cut, schema),
+        map_arrow(marked.where("not maybe").select("doc_id", "text", none.alias("starts")), cut, schema),
     ])
 
 

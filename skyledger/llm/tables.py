@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from skyledger.session import shared_dir
 
 FILTER_BITS = 1 << 23
+ARROW_ROWS = 1000  # texts in an Arrow batch; Spark's own 10,000 would be gigabytes of long documents
 _WORD = 1 << 15  # bits in one row of Spark's bitmap aggregate
 
 
@@ -27,6 +28,12 @@ def stage(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def map_arrow(rows: DataFrame, task, schema) -> DataFrame:
+    """``rows.mapInArrow`` in batches of at most ``ARROW_ROWS`` rows, a setting of the session."""
+    rows.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
+    return rows.mapInArrow(task, schema)
+
+
 def _slot(cols: list[Column], bits: int) -> Column:
     return F.pmod(F.xxhash64(*cols), F.lit(bits))
 

@@ -29,7 +29,7 @@ from pyspark.sql import types as T
 from skyledger.llm import wordhash as wh
 from skyledger.llm.quality import fit_logistic, labelled
 from skyledger.llm.samples import held_out, label_classes
-from skyledger.llm.tables import table
+from skyledger.llm.tables import map_arrow, table
 
 PER_CLASS = 2500
 BUCKETS = 1 << 17
@@ -235,7 +235,7 @@ def score(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str =
             margin = np.clip(model["slope"] * top + model["intercept"], -30, 30)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(1 / (1 + np.exp(-margin)))], names=schema.names)
 
-    return rows.mapInArrow(measure, schema)
+    return map_arrow(rows, measure, schema)
 
 
 def query(spark, sf_dir: str) -> DataFrame:
