@@ -64,13 +64,15 @@ def without(docs: DataFrame, dropped: DataFrame, id_col: str = "doc_id", bits: i
     """``docs`` without the ids in ``dropped``; rows with a null id stay.
 
     Only rows that a fixed-size filter of the dropped ids lets through are shuffled, so the texts of
-    most kept documents never move.
+    most kept documents never move. The check is an outer join on purpose: Catalyst moves an anti join below
+    the filter, where it would shuffle every text.
     """
     ids = dropped.select(F.col(id_col).alias("__dropped")).where("__dropped is not null")
     flagged = with_filter(docs, [F.col(id_col)], key_filter(ids, ["__dropped"], bits), "__maybe", bits)
-    sure = flagged.where("not __maybe")
-    checked = flagged.where("__maybe").join(ids.distinct(), F.col(id_col) == F.col("__dropped"), "left_anti")
-    return sure.unionByName(checked).select(*docs.columns)
+    to_check = F.col("__maybe") & F.col(id_col).isNotNull()
+    sure = flagged.where(~to_check)
+    checked = flagged.where(to_check).join(ids.distinct(), F.col(id_col) == F.col("__dropped"), "left").where("__dropped is null")
+    return sure.select(*docs.columns).unionByName(checked.select(*docs.columns))
 
 
 def id_text_crc(id_col: str = "doc_id") -> Column:

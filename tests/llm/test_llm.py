@@ -75,6 +75,28 @@ def test_key_filter_lets_its_keys_through(spark):
     assert tables.key_filter(keys, ["k"], 1 << 20).count() <= 32
 
 
+def test_without_shuffles_only_texts_in_doubt(spark, docs):
+    """Rows go by exact id, null ids and repeated rows stay, and no text is shuffled before the filter saw its id."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        ids = spark.createDataFrame([(1,), (14,), (14,), (99,), (None,)], "doc_id long")
+        left = tables.without(docs, ids)
+        assert left.columns == docs.columns
+        key = lambda i: (i is None, i or 0)
+        assert sorted((r.doc_id for r in left.collect()), key=key) == sorted((i for i, _ in ODD if i not in (1, 14)), key=key)
+        assert tables.without(docs, ids, bits=1 << 15).count() == left.count()
+        assert tables.without(docs, ids.where("false")).count() == len(ODD)
+        stored = tables.table(spark, SF, "documents")
+        plan = tables.without(stored, stored.where("doc_id % 7 = 0"))._jdf.queryExecution().executedPlan().toString().split("\n")
+        join = next(n for n, line in enumerate(plan) if "SortMergeJoin" in line)
+        moved = next(n for n, line in enumerate(plan) if n > join and "Exchange hashpartitioning(doc_id" in line)
+        asked = next(n for n, line in enumerate(plan) if n > join and "BroadcastHashJoin" in line)
+        assert moved < asked  # the plan reads from the bottom up: filter first, then shuffle
+        assert "LeftAnti" not in "".join(plan)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_exact_dedup(docs, none):
     normal = [re.sub(r"[\x20\x09-\x0D]", "", t or "") for _, t in ODD]
     expect = []
