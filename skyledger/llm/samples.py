@@ -6,6 +6,7 @@ from pyspark.sql.window import Window
 
 from skyledger.llm.tables import id_text_crc, stage
 
+SHARES = 256  # groups of map tasks whose best rows of a class are taken first
 
 def held_out(modulus: int, remainder: int, id_col: str = "doc_id") -> Column:
     return F.pmod(id_text_crc(id_col), F.lit(modulus)) == remainder
@@ -15,12 +16,16 @@ def bounded_sample(texts: DataFrame, classes: DataFrame, per_class: int) -> Data
     """Texts (doc_id, text) of at most ``per_class`` documents of each class (doc_id, cls).
 
     Documents are taken in the order of a hash of their id. The choice runs on ids alone, with a limit
-    before its shuffle; what is chosen is bounded by ``per_class`` ids a class and may be broadcast.
+    before its shuffle, first among ``SHARES`` groups of tasks and then among their best: however many
+    tasks there are, no class brings more than ``SHARES * per_class`` ids to its last task. What is
+    chosen is bounded by ``per_class`` ids a class and may be broadcast.
     """
-    order = Window.partitionBy("cls").orderBy(F.xxhash64("doc_id"), "doc_id")
+    order = [F.xxhash64("doc_id"), F.col("doc_id")]
+    best = lambda rows, *by: rows.withColumn("rank", F.row_number().over(Window.partitionBy(*by).orderBy(*order))).where(F.col("rank") <= per_class)
+    ids = classes.where("doc_id is not null and cls is not null").select("doc_id", F.col("cls").cast("string").alias("cls")).distinct()
+    shared = best(ids.withColumn("share", F.spark_partition_id() % SHARES), "cls", "share").select("doc_id", "cls")
     chosen = (
-        classes.where("doc_id is not null and cls is not null").select("doc_id", F.col("cls").cast("string").alias("cls")).distinct()
-        .withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= per_class)
+        best(shared, "cls")
         .select(F.col("doc_id").alias("chosen_id"), "cls", "rank")
     )
     chosen = stage(chosen, "sample-ids")

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from skyledger.llm import (
-    catalog, components, decontaminate, exact_dedup, language, near_dedup, packing, quality, secrets, substring_dedup,
+    catalog, components, decontaminate, exact_dedup, language, near_dedup, packing, quality, samples, secrets, substring_dedup,
     tables, toxicity, warc, wordhash,
 )
 
@@ -275,6 +275,20 @@ def test_decontamination(spark, docs, none):
     assert decontaminate.contained_items(docs, table.limit(0)).count() == 0
 
 
+def test_bounded_sample_takes_the_first_hashes_of_each_class(spark):
+    """One class holds nearly all rows, from many tasks; repeated rows count once, null ids and classes never."""
+    rows = spark.range(0, 3000, 1, 12).select(
+        F.col("id").alias("doc_id"), F.when(F.col("id") % 50 == 0, "b").when(F.col("id") % 50 == 1, None).otherwise("a").alias("cls"))
+    rows = rows.union(rows.where("doc_id < 500")).union(rows.limit(1).select(F.lit(None).cast("long"), F.lit("a")))
+    texts = spark.range(3000).select(F.col("id").alias("doc_id"), F.col("id").cast("string").alias("text"))
+    got = samples.bounded_sample(texts, rows, 70).collect()
+    order = [r.id for r in spark.range(3000).orderBy(F.xxhash64("id"), "id").collect()]
+    for cls, member in (("a", lambda i: i % 50 > 1), ("b", lambda i: i % 50 == 0)):
+        wanted = [(str(i), n) for n, i in enumerate(filter(member, order), 1)][:70]
+        assert sorted((r.text, r["rank"]) for r in got if r.cls == cls) == sorted(wanted)
+    assert len(got) == 70 + 60
+
+
 def test_language(spark, docs, none):
     found = catalog.QUERIES["op6_language"](spark, "/root/testdata/sf0.01").join(
         tables.table(spark, "/root/testdata/sf0.01", "documents"), "doc_id").where("held_out")
