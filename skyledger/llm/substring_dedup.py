@@ -8,21 +8,23 @@ by hashing, with work in proportion to the text:
 1. A window's *anchor* is the smallest hash among its 13 runs of 8 words. Equal windows have equal anchors,
    and neighbouring windows mostly share one, so anchors are a seventh as many as words.
 2. Anchors that occur twice go into a filter of a fixed size. Only windows whose anchor passes become rows
-   (hash, doc_id, start); unique text, most of the corpus, never leaves its scan.
+   (hash, key of the row, start); unique text, most of the corpus, never leaves its scan.
 3. The first occurrence of each window is found by an aggregate that combines before its shuffle, so a
    passage that a third of all documents share is no hot key; the others are joined to it.
 4. Documents that lose words, and no others, are brought together with the starts of their windows.
 
-Windows are compared by 64-bit hashes of their words. Documents rank by id, a null id after all others. Rows
-that repeat a ``doc_id`` rank alike, so neither is earlier than the other; each loses the words of either.
-A null text has no words; a text of fewer than 20 words loses none. Other columns are ignored.
+Windows are compared by 64-bit hashes of their words. Documents rank by id, a null id after all others, and
+rows of one id, or of none, by a 64-bit hash of their whole text. Id and hash are the key of a row: its windows
+are its own, whatever other rows share its id. Rows equal in id and text are one document that repeats: neither
+is earlier than the other, and each gets the same result. A null text has no words; a text of fewer than 20
+words loses none. Other columns are ignored.
 """
 
 import re
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -70,14 +72,18 @@ def _breaks(rows: np.ndarray, anchors: np.ndarray, limit: int) -> np.ndarray:
     return np.flatnonzero(since % limit == 0)
 
 
+def _key() -> list[Column]:
+    return [F.coalesce(F.col("doc_id"), F.lit(_LAST)).alias("rank"), F.xxhash64("text").alias("tie")]
+
+
 def repeated_windows(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, bits: int = ANCHOR_BITS) -> DataFrame:
-    """(doc_id, starts): the windows of each document that also start earlier."""
-    docs = docs.select(F.coalesce(F.col("doc_id"), F.lit(_LAST)).alias("rank"), "text")
+    """(rank, tie, starts): the windows of each document, by its key, that also start earlier."""
+    docs = docs.select(*_key(), "text")
     limit = window - gram + 1
 
     def anchors_of(batches):
         for batch in batches:
-            for rows, _, anchors, hashes in _anchored(batch.column(1), window, gram):
+            for rows, _, anchors, hashes in _anchored(batch.column(2), window, gram):
                 order = np.argsort(hashes, kind="stable")
                 again = order[1:][hashes[order][1:] == hashes[order][:-1]]  # also inside one stretch
                 found = np.concatenate([anchors[_breaks(rows, anchors, limit)], anchors[again]])
@@ -85,37 +91,34 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, bi
 
     def windows_of(batches):
         for batch in batches:
-            for rows, starts, anchors, hashes in _anchored(batch.column(1), window, gram):
+            for rows, starts, anchors, hashes in _anchored(batch.column(2), window, gram):
                 at = _breaks(rows, anchors, limit)
                 bounds = np.append(at, len(rows)).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        batch.column(0).take(pa.array(rows[at])), pa.array(anchors[at]), pa.array(starts[at].astype(np.int32)),
+                        batch.column(0).take(pa.array(rows[at])), batch.column(1).take(pa.array(rows[at])),
+                        pa.array(anchors[at]), pa.array(starts[at].astype(np.int32)),
                         pa.ListArray.from_arrays(pa.array(bounds), pa.array(hashes)),
                     ],
-                    names=["rank", "anchor", "first", "hashes"],
+                    names=["rank", "tie", "anchor", "first", "hashes"],
                 )
 
     anchors = map_arrow(docs, anchors_of, "anchor long")
     repeated = anchors.groupBy("anchor").count().where("count > 1")
-    stretches = map_arrow(docs, windows_of, "rank long, anchor long, first int, hashes array<long>")
+    stretches = map_arrow(docs, windows_of, "rank long, tie long, anchor long, first int, hashes array<long>")
     possible = with_filter(stretches, [F.col("anchor")], key_filter(repeated, ["anchor"], bits), "maybe", bits).where("maybe")
     windows = stage(
-        possible.select("rank", "first", F.posexplode("hashes").alias("step", "window"))
-        .select("window", "rank", (F.col("first") + F.col("step")).alias("start")),
+        possible.select("rank", "tie", "first", F.posexplode("hashes").alias("step", "window"))
+        .select("window", "rank", "tie", (F.col("first") + F.col("step")).alias("start")),
         "substring-windows",
     )
     earliest = stage(
-        windows.groupBy("window").agg(F.count("*").alias("n"), F.min(F.struct("rank", "start")).alias("e")).where("n > 1")
-        .select(F.col("window").alias("e_window"), F.col("e.rank").alias("e_rank"), F.col("e.start").alias("e_start")),
+        windows.groupBy("window").agg(F.count("*").alias("n"), F.min(F.struct("rank", "tie", "start")).alias("e")).where("n > 1")
+        .select(F.col("window").alias("e_window"), "e"),
         "substring-earliest",
     )
-    later = windows.join(earliest, F.col("window") == F.col("e_window")).where(
-        (F.col("rank") > F.col("e_rank")) | ((F.col("rank") == F.col("e_rank")) & (F.col("start") > F.col("e_start")))
-    )
-    return later.groupBy("rank").agg(F.collect_set("start").alias("starts")).select(
-        F.when(F.col("rank") != _LAST, F.col("rank")).alias("doc_id"), "starts"
-    )
+    later = windows.join(earliest, F.col("window") == F.col("e_window")).where(F.struct("rank", "tie", "start") > F.col("e"))
+    return later.groupBy("rank", "tie").agg(F.collect_set("start").alias("starts"))
 
 
 def remove_repeats(
@@ -125,11 +128,9 @@ def remove_repeats(
     ``kept``, the kept words joined by a space."""
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     starts = stage(repeated_windows(docs, window, gram, bits), "substring-starts")
-    marked = with_filter(docs, [F.coalesce("doc_id", F.lit(_LAST))], key_filter(
-        starts.select(F.coalesce("doc_id", F.lit(_LAST)).alias("rank")), ["rank"]
-    ), "maybe")
-    theirs = starts.select(F.col("doc_id").alias("s_id"), "starts")
-    touched = marked.where("maybe").join(theirs, F.col("doc_id").eqNullSafe(F.col("s_id")), "left")
+    key = ["rank", "tie"]
+    marked = with_filter(docs.select("*", *_key()), [F.col(c) for c in key], key_filter(starts, key), "maybe")
+    touched = marked.where("maybe").join(starts, key, "left")
     none = F.expr("cast(null as array<int>)")
     schema = T.StructType([
         T.StructField("doc_id", T.LongType()), T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()),

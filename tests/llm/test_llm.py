@@ -212,6 +212,31 @@ def test_substring_dedup(docs, none):
     assert substring_dedup.remove_repeats(none).count() == 0
 
 
+def test_substring_dedup_of_rows_that_share_an_id(spark):
+    """Each row loses its own windows only, also under a null id or one id, and one of two such rows keeps a passage."""
+    passage = prose(60, 50)
+    rows = [
+        (1, BASE), (None, prose(61, 200)), (None, BASE), (None, prose(62, 30) + " " + BASE), (7, prose(63, 200)), (7, BASE),
+        (None, passage + " " + prose(64, 40)), (None, passage + " " + prose(65, 40)), (8, passage + " " + prose(66, 40)),
+        (9, prose(67, 50) + " uno"), (9, prose(67, 50) + " due"), (None, prose(68, 50)), (None, prose(68, 50)), (None, prose(69, 50) + " x"), (None, prose(69, 50) + " y"),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    tie = {r.text: r.tie for r in docs.select("text", F.xxhash64("text").alias("tie")).collect()}
+    first = {}
+    ranked = [((i is None, i or 0, tie[t]), i, words(t)) for i, t in rows]
+    for rank, _, own in ranked:
+        for s in range(len(own) - 19):
+            w = tuple(own[s : s + 20])
+            first[w] = min(first.get(w, (*rank, s)), (*rank, s))
+    expect = []
+    for rank, i, own in ranked:
+        gone = {k for s in range(len(own) - 19) if first[tuple(own[s : s + 20])] < (*rank, s) for k in range(s, s + 20)}
+        expect.append((i, len(own), len(gone), " ".join(w for k, w in enumerate(own) if k not in gone)))
+    got = substring_dedup.remove_repeats(docs).select("doc_id", "n_words", "n_removed", "kept").collect()
+    assert sorted(map(str, map(tuple, got))) == sorted(map(str, expect))
+    assert {(None, 200, 0), (None, 120, 120), (None, 150, 120), (7, 200, 0), (7, 120, 120)} <= {tuple(r)[:3] for r in got}
+
+
 def brute_groups(rows, size, share):
     sets = [frozenset([tuple(w)] if 0 < len(w) < size else zip(*(w[k:] for k in range(size)))) for w in (words(t, True) for _, t in rows)]
     parent = list(range(len(rows)))
