@@ -5,14 +5,17 @@ Base spans per kind, leftmost and non-overlapping: ``assign`` (a named value of
 Two weaker kinds are reported only where complementary parts meet within ``scope`` code points of the
 same document:
 
-* ``key``: a base64-like run of 20 to 128 characters that mixes lower case, upper case and digits, when
+* ``key``: a base64-like run of 20 or more characters that mixes lower case, upper case and digits, when
   an access identifier lies in scope; runs that overlap a base span are not candidates;
 * ``endpoint``: a URL or a dotted host name with a port, when an access identifier and a secret (assign,
   hex or reported key) both lie in scope.
 
 The link is an interval join on (document, bin of ``scope`` code points). Anchors are first reduced to
-the outermost two per bin and kind, which decide every distance test exactly, so no pairs are formed
-and a document with many parts costs in proportion to them.
+the outermost two of those that start in one bin, which decide every distance test exactly: as they start
+within ``scope``, a part between the two is in scope of one. They are listed in every bin from ``scope`` before their first start to
+``scope`` behind their last end, and a part is looked up in every bin it touches, so a pair in scope
+has a bin in common however long either is. No pairs are formed, and as spans of a kind do not overlap,
+a document costs in proportion to its parts and its length.
 
 Offsets are code points, the end exclusive. Defined results: a null text is empty; an empty text has
 no span and the digest of the empty string. Rows that repeat a ``doc_id`` and text get the same result
@@ -31,7 +34,6 @@ KEY = r"[A-Za-z0-9+/_-]{20,}={0,2}"
 ENDPOINT = r"""https?://[A-Za-z0-9.-]+(?::[0-9]+)?[^\s"'<>]*|(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}:[0-9]{2,5}"""
 KINDS = ["assign", "access", "hex", "key", "endpoint"]
 SCOPE = 400
-MAX_KEY = 128
 BLOCK = 64
 
 
@@ -75,7 +77,7 @@ def _places(hits: Column) -> Column:
 
 
 def _mixed(hit: Column) -> Column:
-    return (F.length(hit) <= MAX_KEY) & hit.rlike("[a-z]") & hit.rlike("[A-Z]") & hit.rlike("[0-9]")
+    return hit.rlike("[a-z]") & hit.rlike("[A-Z]") & hit.rlike("[0-9]")
 
 
 def _written(found: Column) -> Column:
@@ -89,12 +91,15 @@ def _written(found: Column) -> Column:
 
 def _in_scope(parts: DataFrame, anchors: DataFrame, scope: int, name: str) -> DataFrame:
     """Keys and places of ``parts`` that have an anchor at most ``scope`` code points away."""
+    bins = lambda low, high: F.explode(F.expr(f"sequence(({low}) div {scope}, ({high}) div {scope})"))
     outer = anchors.groupBy("doc_id", "text_key", F.expr(f"start div {scope}").alias("bin")).agg(
-        F.min("start").alias("first"), F.max("start").alias("last_start"), F.max("end").alias("last")
+        F.min("start").alias("first"), F.max("end").alias("last")
     )
-    near = outer.withColumn("bin", F.explode(F.sequence(F.col("bin") - 1, F.col("bin") + 1)))
-    near = near.select(F.col("doc_id").alias("a_id"), F.col("text_key").alias("a_key"), F.col("bin").alias("a_bin"), "first", "last")
-    probe = parts.withColumn("bin", F.explode(F.array_distinct(F.array(F.expr(f"start div {scope}"), F.expr(f"end div {scope}")))))
+    near = outer.select(
+        F.col("doc_id").alias("a_id"), F.col("text_key").alias("a_key"), "first", "last",
+        bins(f"first - {scope}", f"last + {scope}").alias("a_bin"),
+    )
+    probe = parts.withColumn("bin", bins("start", "end"))
     joined = probe.join(
         near,
         probe["doc_id"].eqNullSafe(near["a_id"]) & (probe["text_key"] == near["a_key"]) & (probe["bin"] == near["a_bin"])
