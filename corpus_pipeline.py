@@ -4,16 +4,18 @@ Every stage works on all that its predecessor kept; its result is written as Par
 the next one's documents. A stage takes (spark, docs, sf_dir). All but the last return the columns of
 ``docs``, whatever they are; the last returns the packed pieces with their token ids.
 
-Rows are dropped by id. A row without an id can't be named by a verdict, so only the first stage, which
-judges rows where they are, drops such rows; the others keep them.
+The first stage judges rows where they are. The verdicts of the others name a row by ``tables.row_key``, its id
+and a digest of its whole text, so rows that share an id or have none are judged each on their own text. Rows
+equal in both are copies, of which the dedup stages keep one; which one is not defined where other columns differ.
 """
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from skyledger.llm import decontaminate as benchmark
 from skyledger.llm import exact_dedup as exact
 from skyledger.llm import language, near_dedup, packing
-from skyledger.llm.tables import stage, table, without
+from skyledger.llm.tables import key_filter, row_key, stage, table, with_filter, without_keys
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -23,20 +25,38 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of equal texts."""
-    verdicts = stage(exact.exact_dedup(docs), "pipeline-exact")
-    return without(docs, verdicts.where("not kept"))
+    judged = exact.exact_dedup(docs.withColumn("__key", row_key()), id_col="__key")
+    verdicts = stage(judged.where("group_size > 1").select(F.col("doc_id").alias("key"), "kept"), "pipeline-exact")
+    repeated = verdicts.where("kept").groupBy("key").count().where("count > 1")
+    return without_keys(docs, verdicts.where("not kept"), repeated)
 
 
 def minhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group linked by a similarity of 0.8 on five-word shingles."""
-    verdicts = stage(near_dedup.near_groups(docs, 80, 100, words=5), "pipeline-near")
-    return without(docs, verdicts.where("not kept"))
+    """One document of each group linked by a similarity of 0.8 on five-word shingles: the one with the smallest id.
+
+    Groups are found under a 64-bit hash of each row's key in the place of its id.
+    """
+    number = F.xxhash64(row_key())
+    judged = near_dedup.near_groups(docs.withColumn("__number", number), 80, 100, words=5, id_col="__number")
+    places = stage(judged.select(F.col("doc_id").alias("number"), "component_id"), "pipeline-near")
+    linked = places.groupBy("component_id").count().where("count > 1")
+    members = stage(
+        with_filter(places, [F.col("component_id")], key_filter(linked, ["component_id"]), "maybe").where("maybe")
+        .groupBy("number", "component_id").agg(F.count("*").alias("copies")),
+        "pipeline-near-members",
+    )
+    keys = docs.select(number.alias("k_number"), row_key().alias("key"))
+    keys = with_filter(keys, [F.col("k_number")], key_filter(members, ["number"]), "maybe").where("maybe").select("k_number", "key").distinct()
+    named = stage(members.join(keys, F.col("number") == F.col("k_number")).select("component_id", "copies", "key"), "pipeline-near-keys")
+    first = named.groupBy("component_id").agg(F.min("key").alias("first")).select("first")
+    dropped = named.join(first, F.col("key") == F.col("first"), "left").where("first is null")
+    return without_keys(docs, stage(dropped.select("key"), "pipeline-near-dropped"), named.where("copies > 1"))
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item."""
-    hits = stage(benchmark.contained_items(docs, table(spark, sf_dir, "benchmark")), "pipeline-benchmark")
-    return without(docs, hits)
+    found = benchmark.contained_items(docs.withColumn("__key", row_key()), table(spark, sf_dir, "benchmark"), id_col="__key")
+    return without_keys(docs, stage(found.select(F.col("doc_id").alias("key")), "pipeline-benchmark"))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

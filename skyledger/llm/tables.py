@@ -75,6 +75,32 @@ def without(docs: DataFrame, dropped: DataFrame, id_col: str = "doc_id", bits: i
     return sure.select(*docs.columns).unionByName(checked.select(*docs.columns))
 
 
+def row_key(id_col: str = "doc_id", text_col: str = "text") -> Column:
+    """What tells rows apart that share an id or have none: the id, a null last, and SHA-256 of the text. Sorts by id."""
+    digest = F.unhex(F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256))
+    return F.struct(F.col(id_col).isNull().alias("no_id"), F.col(id_col).alias("id"), digest.alias("digest"))
+
+
+def without_keys(
+    docs: DataFrame, dropped: DataFrame, repeated: DataFrame | None = None, id_col: str = "doc_id", text_col: str = "text", bits: int = FILTER_BITS
+) -> DataFrame:
+    """``docs`` without the rows whose ``row_key`` is a ``key`` of ``dropped``, and with one row of each key in ``repeated``.
+
+    As in ``without``, only rows that the filter lets through are shuffled. With ``repeated``, rows of one key
+    are combined before that, so a key that a third of all rows have leaves each task as one row.
+    """
+    gone = dropped.select(F.col("key").alias("__dropped")).distinct()
+    named = dropped.select("key") if repeated is None else dropped.select("key").unionByName(repeated.select("key"))
+    flagged = with_filter(
+        docs.withColumn("__key", row_key(id_col, text_col)), [F.col("__key")], key_filter(named, ["key"], bits), "__maybe", bits
+    )
+    to_check = flagged.where("__maybe")
+    if repeated is not None:
+        to_check = to_check.dropDuplicates(["__key"])
+    checked = to_check.join(gone, F.col("__key") == F.col("__dropped"), "left").where("__dropped is null")
+    return flagged.where("not __maybe").select(*docs.columns).unionByName(checked.select(*docs.columns))
+
+
 def id_text_crc(id_col: str = "doc_id") -> Column:
     """crc32 of the id as text; a null id counts as an empty text."""
     return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary"))

@@ -407,6 +407,40 @@ def test_pipeline_stages(spark, docs, tmp_path):
     assert {r.doc_id for r in pieces.collect() if r.doc_id} == {3, 8, 9, 10, 11, 13, 14, 15, 17}
 
 
+def test_pipeline_stages_judge_rows_that_share_an_id(spark, tmp_path):
+    """Copies go though they share an id or have none, and no clean row goes for another row of its id."""
+    near, item, own = prose(70, 300), prose(71, 40), [prose(80 + k, 60) for k in range(9)]
+    rows = [
+        (1, own[0]), (2, own[0]), (2, own[1]), (None, own[0]), (14, own[2]), (14, own[2]), (14, own[2]),
+        (None, own[3]), (None, own[3]), (None, own[4]), (20, near), (3, near + " uno"), (None, near + " due"), (3, own[5]),
+        (5, own[6] + " " + item), (5, own[7]), (None, item), (None, own[8] + " " + item),
+    ]
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    spark.createDataFrame([(i, t, "en", k) for k, (i, t) in enumerate(rows)], "doc_id long, text string, lang string, extra int").repartition(3).write.parquet(
+        f"{tmp_path}/documents.parquet")
+    now = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    got = lambda df: sorted(str((r.doc_id, r.text)) for r in df.collect())
+    expect = lambda *gone: sorted(str(r) for k, r in enumerate(rows) if k not in gone)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        stages = dict(corpus_pipeline.STAGES)
+        exact = tables.stage(stages["exact_dedup"](spark, now, str(tmp_path)), "test-exact")
+        assert exact.columns == now.columns and got(exact) == expect(1, 3, 5, 6, 8)
+        alone = stages["near_dedup"](spark, now, str(tmp_path))
+        assert alone.columns == now.columns and got(alone) == expect(1, 3, 5, 6, 8, 10, 12)
+        linked = tables.stage(stages["near_dedup"](spark, exact, str(tmp_path)), "test-near")
+        assert got(linked) == expect(1, 3, 5, 6, 8, 10, 12)
+        clean = stages["decontamination"](spark, linked, str(tmp_path))
+        assert clean.columns == now.columns and got(clean) == expect(1, 3, 5, 6, 8, 10, 12, 14, 16, 17)
+        twice = now.union(now)
+        assert got(stages["exact_dedup"](spark, twice, str(tmp_path))) == got(exact)
+        assert got(stages["near_dedup"](spark, twice, str(tmp_path))) == got(linked)
+        empty = now.limit(0)
+        assert all(stages[n](spark, empty, str(tmp_path)).count() == 0 for n in ("exact_dedup", "near_dedup", "decontamination"))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 @pytest.mark.parametrize("name", sorted(catalog.ORACLE_SQL))
 def test_sql(spark, name):
     import duckdb
