@@ -9,8 +9,8 @@ Fitting uses at most ``PER_CLASS`` labelled documents a class: even ranks of the
 dictionaries (at most ``DICTIONARY_TEXT`` bytes of chunks spread over them), odd ranks the calibration,
 where classes are weighted by their true counts.
 
-Defined results: null and empty texts have difference 0. Without labels of both classes every score is the
-share of good labels (0.5 without labels). Repeated rows are scored each; other columns are ignored.
+Defined results: null and empty texts have difference 0. Labels whose id is in no document do not count. Without
+labels of both classes every score is the share of good labels (0.5 without labels). Repeated rows are scored each; other columns are ignored.
 """
 
 import numpy as np
@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from skyledger.llm.samples import bounded_sample, held_out, label_classes
-from skyledger.llm.tables import map_arrow, table
+from skyledger.llm.tables import map_arrow, stage, table
 
 PER_CLASS = 2000
 CHUNK = 1024
@@ -132,6 +132,9 @@ def score(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str =
 
 
 def labelled(docs: DataFrame, classes: DataFrame, per_class: int) -> tuple[DataFrame, dict[str, int]]:
+    """Sample and class counts of the labels whose document is there to learn from."""
+    ids = docs.select(F.col("doc_id").alias("d_id")).where("d_id is not null").distinct()
+    classes = stage(classes.join(ids, F.col("doc_id") == F.col("d_id"), "left_semi"), "label-classes")
     counts = {str(r.cls): r["count"] for r in classes.groupBy("cls").count().where("cls in (0, 1)").collect()}
     return bounded_sample(docs.select("doc_id", "text"), classes.where("cls in (0, 1)"), per_class), counts
 

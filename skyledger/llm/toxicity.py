@@ -14,7 +14,7 @@ per n-gram of each distinct word of a slice of texts, and a running mean.
 
 Fitting uses at most ``PER_CLASS`` documents a class, in one Spark task. Words are runs of letters and
 digits in lower case. Defined results: null texts and texts without words have the score of a window
-without evidence. Without labels of both classes every score is the share of toxic labels (0 without labels).
+without evidence. Labels whose id is in no document do not count. Without labels of both classes every score is the share of toxic labels (0 without labels).
 Repeated rows are scored each; other columns are ignored.
 """
 

@@ -384,6 +384,21 @@ def test_classifiers_take_odd_rows(spark, docs, none):
     assert scores[1] > scores[2]
 
 
+@pytest.mark.parametrize(("name", "expect"), [("op8_toxicity", {0.0, 1.0}), ("op9_quality", {0.0, 1.0})])
+def test_classifiers_with_labels_of_absent_documents(spark, tmp_path, name, expect):
+    """Labels of both classes beside no documents, other documents, or documents of one class only."""
+    labels = [(k, k % 2, k % 2) for k in range(40)]
+    seen = set()
+    for case, ids in {"none": [], "others": range(100, 110), "even": range(0, 40, 2), "odd": range(1, 40, 2)}.items():
+        folder = f"{tmp_path}/{case}"
+        spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+        spark.createDataFrame([(i, prose(i, 20)) for i in ids], "doc_id long, text string").write.parquet(f"{folder}/documents.parquet")
+        scores = [r.score for r in catalog.QUERIES[name](spark, folder).collect()]
+        assert len(scores) == len(ids) and all(0 <= s <= 1 for s in scores)
+        seen |= set(scores) if case in ("even", "odd") else set()
+    assert seen == expect
+
+
 def test_held_out_rows_are_those_of_the_crc(spark):
     for r in catalog.QUERIES["op6_language"](spark, SF).collect():
         assert r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2)
