@@ -19,7 +19,11 @@ from skyledger.llm.tables import key_filter, row_key, stage, table, with_filter,
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language can be told; the models learn from the rows of ``docs`` that name one."""
+    """Documents whose language can be told; the models learn from the rows of ``docs`` that name one.
+
+    In effect a text is rejected when it has no letter: of the others the models always choose a language, and
+    without models (no row names one) they all stay. Scores are not used.
+    """
     return language.keep_identified(docs, language.learn(docs))
 
 
