@@ -81,6 +81,7 @@ MUST_BE_LOST_TEXT = "Signal below -95 dBm must be LOST"
 # --- Fixed values: event time -----------------------------------------------------------------
 
 ALLOWED_LATENESS = "1 hour"
+EVENT_WINDOW = "5 minutes"
 TICK_MINUTES = 5
 GRID_START = "2026-08-01 00:00:00"
 GRID_END = "2026-08-14 23:55:00"
@@ -108,3 +109,6 @@ GROUND_STATION_NAMES = {
     "GS-3": "Ground Station 3",
     "GS-4": "Ground Station 4",
 }
+
+# Our own parameter: a key sketch of 2^12 registers has a standard error of 1.6 %.
+SKETCH_LG_K = 12

@@ -31,6 +31,8 @@ def arguments(argv: list[str] | None) -> argparse.Namespace:
     batch.add_argument("--satellites", type=lambda ids: ids.split(","), help="the fleet, comma-separated")
     batch.add_argument("--step-minutes", type=int)
     batch.add_argument("--readings-per-tick", type=int)
+    batch.add_argument("--batch-id", help="name of the batch; a named batch is stored once, however often it runs")
+    batch.add_argument("--rebuild", action="store_true", help="make silver and gold anew from all stored rows")
     batch.add_argument("--publish", metavar="PREFIX", help="publish the tables in databases of this prefix")
     stream = jobs.add_parser("stream", parents=[common])
     stream.add_argument("--checkpoints", required=True, help="folder that all executors reach")
@@ -50,9 +52,11 @@ def main(argv: list[str] | None = None) -> dict[str, int]:
         grid = {name: getattr(given, name) for name in ("satellites", "step_minutes", "readings_per_tick")}
         messages = read_batch(spark, given.source, given.path, **options)
         refresh.refresh(
-            messages, layers, given.as_of, given.grid_start, given.grid_end,
+            messages, layers, given.as_of, given.grid_start, given.grid_end, given.batch_id,
             **{name: value for name, value in grid.items() if value is not None},
         )
+        if given.rebuild:
+            refresh.rebuild(layers, refresh.Grid(given.grid_start, given.grid_end, {n: v for n, v in grid.items() if v is not None}))
         if given.publish is not None:
             layers.publish(given.publish)
         return {}

@@ -29,24 +29,20 @@ def dedup_batch(df: DataFrame) -> DataFrame:
     return ranked.filter(F.col("copy_rank") == 1).drop("copy_rank")
 
 
-def event_span(df: DataFrame) -> tuple[int, int] | None:
-    """First and last event time in microseconds, one row; None without rows."""
-    micros = F.unix_micros("event_timestamp")
-    span = df.agg(F.min(micros).alias("low"), F.max(micros).alias("high")).first()
-    return None if span.low is None else (span.low, span.high)
+def event_days(df: DataFrame) -> list[str]:
+    """The UTC days of the events, one name each."""
+    days = df.select(F.to_date("event_timestamp").cast("string").alias("day")).distinct()
+    return sorted(row.day for row in days.collect() if row.day is not None)
 
 
-def without_known(deduped: DataFrame, curated: DataFrame, span: tuple[int, int] | None) -> DataFrame:
+def without_known(deduped: DataFrame, stored: DataFrame) -> DataFrame:
     """Drop readings that an earlier run already wrote.
 
-    Equal readings have equal event times, so only the stored rows inside the new rows' ``span`` are
-    read. The join uses the dedup's own columns: its shuffle serves the join, and copies are gone
-    before it.
+    Equal readings have equal event times, so ``stored`` need only hold the days of the new rows, of which no
+    more than the key columns are read. The join uses the dedup's own columns: its shuffle serves the join, and
+    copies are gone before it.
     """
-    if span is None:
-        return deduped
-    overlap = curated.filter(F.col("event_timestamp").between(*[F.timestamp_micros(F.lit(time)) for time in span]))
-    return deduped.join(overlap.select(KEY_COLUMNS), KEY_COLUMNS, "left_anti").select(deduped.columns)
+    return deduped.join(stored.select(KEY_COLUMNS), KEY_COLUMNS, "left_anti").select(deduped.columns)
 
 
 def dedup_stream(df: DataFrame, lateness: str = fv.ALLOWED_LATENESS, spread: int = 16) -> DataFrame:

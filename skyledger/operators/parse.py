@@ -36,7 +36,8 @@ def parse_payloads(messages: DataFrame, fields: T.StructType, value: str = "valu
     checked = F.from_json(member, "whole STRING, broken STRING", {**STRICT_JSON, "columnNameOfCorruptRecord": "broken"})
     # Spark's parser also takes +INF, -INF, INF and +Infinity as numbers; outside strings they are no JSON.
     foreign = r"\+I|INF"
-    outside = F.regexp_replace("raw_payload", r'(?s)"(?:[^"\\]|\\.)*"', '""')
+    # Escaped pairs go first, then strings: single loops over one class, which need no stack however long the text.
+    outside = F.regexp_replace(F.regexp_replace("raw_payload", r"(?s)\\.", ""), r'"[^"]*"', '""')
     is_foreign = F.col("raw_payload").rlike(foreign) & outside.rlike(foreign)
     is_one = ~is_foreign & (F.size("objects") == 1) & (~F.col("raw_payload").contains("]") | checked["broken"].isNull())
     return parsed.select("raw_payload", F.when(is_one, F.col("objects")[0]).alias("message"))

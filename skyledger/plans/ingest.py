@@ -16,9 +16,14 @@ def processing_time(as_of: str | None = None) -> Column:
 def raw_envelope(messages: DataFrame, as_of: str | None = None) -> DataFrame:
     """Every message, valid or not, with its whole payload and the ids it may carry."""
     parsed = parse_payloads(messages, schemas.ENVELOPE_IDS, hold=False)
-    return parsed.select(
+    return enveloped(parsed.select("raw_payload", *[F.col(f"message.{name}").alias(name) for name in fv.ID_FIELDS]), as_of)
+
+
+def enveloped(checked: DataFrame, as_of: str | None = None) -> DataFrame:
+    """Rows that hold the payload and the ids, as ``validated`` gives them too, in the raw layout."""
+    return checked.select(
         "raw_payload",
-        *[F.col(f"message.{name}").alias(name) for name in fv.ID_FIELDS],
+        *fv.ID_FIELDS,
         processing_time(as_of).alias("ingestion_timestamp"),
         F.lit(fv.PIPELINE_VERSION).alias("pipeline_version"),
         F.lit(fv.MESSAGE_SOURCE).alias("source"),

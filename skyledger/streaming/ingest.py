@@ -5,7 +5,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from skyledger import fixed_values as fv, schemas
 from skyledger.operators.dedup import dedup_stream
-from skyledger.plans import ingest
+from skyledger.plans import ingest, refresh
 from skyledger.session import ROCKSDB_PROVIDER
 from skyledger.sources.layers import DAY, LAYOUTS, Layers
 
@@ -23,6 +23,9 @@ def stream_curated(
 ) -> DataFrame:
     """Valid readings, each once; rows later than the watermark are dropped and counted in the progress.
 
+    Spark holds rows against the watermark with which the micro-batch before began, so that stateful steps may follow
+    each other: one more micro-batch of lateness is forgiven than the newest event would tell.
+
     The event time is in the key, so equal keys always share a five-minute window: the window needs
     no column of its own. A key's state is cleared when the watermark passes event time + lateness.
     """
@@ -30,6 +33,46 @@ def stream_curated(
     return dedup_stream(readings, lateness, spread).select(schemas.CURATED.fieldNames())
 
 
+def window_metrics(
+    messages: DataFrame, as_of: str | None = None, lateness: str = fv.ALLOWED_LATENESS, width: str = fv.EVENT_WINDOW, spread: int = 16
+) -> DataFrame:
+    """Per satellite and five-minute window of event time: readings (each once), lost links and the greatest latency.
+
+    A window comes out once, when the watermark has passed its end; nothing can join it after that. Counts combine
+    before the shuffle, so a satellite with a third of all rows leaves each task as one row a window.
+    """
+    readings = stream_curated(messages, as_of, lateness, spread)
+    latency = F.timestamp_diff("MILLISECOND", F.col("event_timestamp"), F.col("received_timestamp"))
+    grouped = readings.groupBy(F.window("event_timestamp", width).alias("span"), "satellite_id").agg(
+        F.count("*").alias("readings"),
+        F.count_if(F.col("comm_status") == "LOST").alias("lost_links"),
+        F.max(latency).alias("max_latency_ms"),
+    )
+    return grouped.select(F.col("span.start").alias("window_start"), F.col("span.end").alias("window_end"), "satellite_id", "readings", "lost_links", "max_latency_ms")
+
+
+def start_fan_out(
+    messages: DataFrame, layers: Layers, checkpoint: str, name: str = "telemetry", as_of: str | None = None, trigger: dict | None = None,
+) -> StreamingQuery:
+    """All three tables from one query that parses each message once.
+
+    Every micro-batch is a batch of its own in the ledger, named by the stream and its number, so that one that is
+    replayed after a failure adds nothing. Copies are found among the stored rows of the days touched, however
+    old; no row is too late. Derived tables are brought up to date by ``refresh.refresh_days`` when wanted.
+    """
+    layers.create()
+
+    def store(rows: DataFrame, number: int) -> None:
+        refresh.ingest_batch(rows, Layers(rows.sparkSession, layers.root), as_of, f"{name}-{number}")
+
+    return (
+        messages.writeStream.queryName(f"{name}_fan_out").foreachBatch(store)
+        .option("checkpointLocation", checkpoint)
+        .trigger(**(trigger or {"processingTime": "1 minute"}))
+        .start()
+    )
+
+
 def start(
     messages: DataFrame, layers: Layers, checkpoints: str, as_of: str | None = None,
     lateness: str = fv.ALLOWED_LATENESS, trigger: dict | None = None, tables: list[str] | None = None,

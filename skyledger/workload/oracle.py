@@ -64,7 +64,7 @@ copies as (
          else cast(-75 as double) + (event_id % 200) * cast(0.125 as double) end as signal
   from copies
 ), received as (
-  select d,
+  select d, event_id, ts,
     case when d = 15 then '' else concat(case when copy = 0 then 'm' else 'd' end, event_id) end as message_id,
     case when d = 1 then null when d = 2 then 'SAT-99'
          else concat('SAT-', lpad(cast(user_id % 12 + 1 as varchar), 2, '0')) end as satellite_id,
@@ -318,6 +318,41 @@ select raw_payload, {_IDS}, timestamp '{AS_OF}' as ingestion_timestamp, '1.0.0'
   'pubsub' as source
 from judged
 """
+_TWICE = "ts >= timestamp '2024-01-06' and ts < timestamp '2024-01-07'"  # the day that came once more
+
+_DELIVERED = f"""
+select raw_records, curated_records, quarantined_records, unique_semantic_events, avg_latency_ms, max_latency_ms,
+  {_ratio("quarantined_records", "raw_records")} as quarantine_rate,
+  {_ratio("curated_records", "raw_records")} as curated_rate
+from (select (select count(*) + count_if({_TWICE}) from messages) as raw_records, (select count(*) from silver) as curated_records,
+             (select count(*) + count_if({_TWICE}) from judged where reason_code is not null) as quarantined_records,
+             (select count(distinct dedup_key) from silver) as unique_semantic_events,
+             (select avg(latency_ms) from silver) as avg_latency_ms,
+             (select max(latency_ms) from silver) as max_latency_ms)
+"""
+
+# Which slice of the stream brings a message, and the watermark that it is held against: one hour below the newest
+# valid event, as it was when the slice before began.
+_SLICED = f"""
+arrivals as (
+  select *, unnest(case when late and slice < 4 then [slice + 2] when again then [slice, slice + 1] else [slice] end) as arrival
+  from (select *, cast(least((day(ts) - 1) // 5, 5) as integer) as slice, event_id % 101 = 3 as late,
+               event_id % 7 = 0 and day(ts) % 5 = 0 and day(ts) < 30 and hour(ts) = 23 and minute(ts) >= 30 as again
+        from judged)
+), newest as (
+  select arrival, max(event_at) as newest_at from arrivals where reason_code is null group by arrival
+), timed as (
+  select a.*, (select max(newest_at) - interval 1 hour from newest n where n.arrival < a.arrival - 1) as watermark from arrivals a
+), in_time as (
+  select * from timed where reason_code is null and (watermark is null or event_at > watermark)
+)"""
+_IN_TIME = query("").rstrip() + ",\n" + _SLICED.strip() + """, kept as (
+  select distinct curated.* from curated join in_time i
+    on curated.event_timestamp = i.event_at and curated.satellite_id = i.satellite_id and curated.subsystem = i.subsystem
+  where curated.message_id in (concat('m', i.event_id), concat('d', i.event_id))
+)
+"""
+
 _READING_COLUMNS = ("dedup_key, satellite_id, ground_station_id, subsystem, event_timestamp, "
                     + ", ".join(_MEASURES) + ", comm_status, ingestion_timestamp, pipeline_version, "
                     "source_ground_station")
@@ -388,6 +423,32 @@ from (select count(*) as total_rows, cast(count_if(is_malformed = 'true') as big
             f"select '{name}' as table_name, count(*) as row_count from {part}" for name, part in _STORED)),
         "stored_satellite_health": _with(_HEALTH, "select * from health"),
         "redelivered_batch": query("select * from curated"),
+        "late_batch": query("select * from curated"),
+        "rerun_batch": query(" union all ".join(
+            f"select '{name}' as table_name, count(*) as row_count from {part}" for name, part in _STORED[:3])),
+        "refreshed_silver_telemetry": query("select * from silver"),
+        "refreshed_communication_health": _with(_COMM_HEALTH, "select * from comm_health"),
+        "refreshed_contact_gaps": query(_GAPS),
+        "refreshed_data_completeness": _completeness(1),
+        "refreshed_pipeline_quality": query(_DELIVERED),
+        "contact_gaps_from_segments": query(_GAPS),
+        "pipeline_quality_from_days": query(_PIPELINE),
+        "estimated_events": query("select count(distinct dedup_key) as unique_semantic_events, true as within_bound from silver"),
+        "stream_windows": _IN_TIME + """
+select time_bucket(interval 5 minutes, event_timestamp) as window_start,
+  time_bucket(interval 5 minutes, event_timestamp) + interval 5 minutes as window_end, satellite_id,
+  count(*) as readings, count(*) filter (comm_status = 'LOST') as lost_links
+from kept
+where time_bucket(interval 5 minutes, event_timestamp) + interval 5 minutes <= (select max(newest_at) - interval 1 hour from newest)
+group by all""",
+        "stream_in_order": _IN_TIME + f"select {_READING_COLUMNS} from kept",
+        "stream_late_counts": _IN_TIME + """
+select (select count(*) from timed where reason_code is null and event_at <= watermark) as late_rows, count(*) as stored_rows from kept""",
+        "stream_fan_out": query("").rstrip() + ",\n" + _SLICED.strip() + """
+select 'telemetry_raw' as table_name, count(*) as row_count from arrivals
+union all select 'telemetry_quarantine', count(*) from arrivals where reason_code is not null
+union all select 'telemetry_curated', count(*) from curated""",
+        "stream_fan_out_curated": query(f"select {_READING_COLUMNS} from curated"),
         "stream_raw": query(_RAW),
         "stream_quarantine": query("select * from quarantine"),
         "stream_curated": query(f"select {_READING_COLUMNS} from curated"),

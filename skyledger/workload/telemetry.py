@@ -15,9 +15,13 @@ EVENT_COLUMNS = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type s
 
 
 def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The columns of the events that messages are made from; file splits decide the number of tasks."""
+    """The columns of the events that messages are made from, dealt over the session's shuffle partitions.
+
+    A message is many times as large and dear as its event, while the given file may be a single split.
+    """
     events = spark.read.schema(EVENT_COLUMNS).parquet(f"{sf_dir}/events.parquet")
-    return events.select("event_id", "ts", "user_id", "event_type")
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return events.select("event_id", "ts", "user_id", "event_type").repartition(partitions, "event_id")
 
 
 def _steps(modulus: int, size: float, start: float) -> str:

@@ -6,7 +6,7 @@ import random
 from conftest import AS_OF, record
 from pyspark.sql import functions as F
 
-from skyledger.operators.dedup import dedup_batch, event_span, without_known
+from skyledger.operators.dedup import dedup_batch, event_days, without_known
 from skyledger.plans import gold, ingest, silver
 
 
@@ -90,11 +90,10 @@ def test_stored_readings_are_not_new(messages):
     records = some_records(12)
     old = ingest.accepted(ingest.validated(as_messages(messages, records[:8]), AS_OF), AS_OF)
     new = ingest.accepted(ingest.validated(as_messages(messages, records[4:]), AS_OF), AS_OF)
-    unseen = without_known(dedup_batch(new), old, event_span(new))
+    unseen = without_known(dedup_batch(new), old)
     assert sorted(r.message_id for r in unseen.collect()) == ["m008", "m009", "m010", "m011"]
     assert unseen.columns == new.columns
-    assert event_span(new.limit(0)) is None
-    assert without_known(new, old, None).count() == 8
+    assert event_days(new) == ["2026-08-01", "2026-08-02", "2026-08-03"] and event_days(new.limit(0)) == []
 
 
 def test_the_dedups_shuffle_serves_the_join_with_stored_rows(spark, messages):
@@ -102,7 +101,7 @@ def test_the_dedups_shuffle_serves_the_join_with_stored_rows(spark, messages):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        unseen = without_known(dedup_batch(new), new, event_span(new))
+        unseen = without_known(dedup_batch(new), new)
         plan = unseen._jdf.queryExecution().executedPlan().toString()
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

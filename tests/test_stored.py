@@ -28,6 +28,7 @@ def test_batch_job_builds_every_table(spark, messages, tmp_path):
         "silver_power": 3, "silver_thermal": 3, "silver_comms": 3, "silver_orbital": 3, "fact_telemetry": 12,
         "dim_satellite": 12, "dim_ground_station": 4, "gold_satellite_health": 3, "gold_communication_health": 3,
         "gold_contact_gaps": 2, "gold_data_completeness": 168, "gold_data_quality": 2, "gold_pipeline_quality": 1,
+        "gold_gap_segments": 3, "gold_quality_days": 3, "gold_intake_days": 1,
     }
     assert layers.read("telemetry_curated").columns == schemas.CURATED.fieldNames()
 
