@@ -301,7 +301,9 @@ class Layers:
         if not self._is_by_day(table):
             self.spark.catalog.recoverPartitions(name)
             for batch in self.ledger.open_batches():
-                self.spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION ({BATCH} = '{batch}')")
+                for row in self.spark.sql(f"SHOW PARTITIONS {name} PARTITION ({BATCH} = '{batch}')").collect():
+                    spec = ", ".join("{} = '{}'".format(*part.split("=", 1)) for part in row.partition.split("/"))
+                    self.spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION ({spec})")
             return
         added = "".join(f" PARTITION ({DAY} = '{day}') LOCATION '{self._day_path(table, day, version)}'" for day, version in sorted(self.day_versions(table).items()))
         if added:
