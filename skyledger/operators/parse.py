@@ -1,8 +1,9 @@
 """Message bytes to a payload text and a struct of text fields."""
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from skyledger.functions.parsing import utf8_text
+from skyledger.schemas import MEASURES
 
 STRICT_JSON = {"allowSingleQuotes": "false"}
 
@@ -30,14 +31,37 @@ def parse_payloads(messages: DataFrame, fields: T.StructType, value: str = "valu
     """
     text = messages.select(utf8_text(messages, value).alias("raw_payload"))
     listed = F.concat(F.lit("["), F.col("raw_payload"), F.lit("]"))
-    objects = F.from_json(listed, T.ArrayType(fields), STRICT_JSON)
+    # Escaped pairs go first, then strings: single loops over one class, which need no stack however long the text.
+    outside = F.regexp_replace(F.regexp_replace("raw_payload", r"(?s)\\.", ""), r'"[^"]*"', '""')
+    objects = _with_numbers_for_booleans(F.from_json(listed, T.ArrayType(fields), STRICT_JSON), outside, fields)
     parsed = materialise(text, objects, "objects") if hold else text.withColumn("objects", objects)
     member = F.concat(F.lit('{"whole":'), F.col("raw_payload"), F.lit("}"))
     checked = F.from_json(member, "whole STRING, broken STRING", {**STRICT_JSON, "columnNameOfCorruptRecord": "broken"})
     # Spark's parser also takes +INF, -INF, INF and +Infinity as numbers; outside strings they are no JSON.
     foreign = r"\+I|INF"
-    # Escaped pairs go first, then strings: single loops over one class, which need no stack however long the text.
-    outside = F.regexp_replace(F.regexp_replace("raw_payload", r"(?s)\\.", ""), r'"[^"]*"', '""')
     is_foreign = F.col("raw_payload").rlike(foreign) & outside.rlike(foreign)
     is_one = ~is_foreign & (F.size("objects") == 1) & (~F.col("raw_payload").contains("]") | checked["broken"].isNull())
     return parsed.select("raw_payload", F.when(is_one, F.col("objects")[0]).alias("message"))
+
+
+def _with_numbers_for_booleans(objects: Column, outside: Column, fields: T.StructType) -> Column:
+    """JSON's true and false count as 1.0 and 0.0 in measures; the texts "true" and "false" do not.
+
+    Text fields can not tell these apart, typed JSON (VARIANT) can. It is parsed only for payloads of one object that
+    hold one of the words outside strings. ``outside`` is the payload without its strings.
+    """
+    measures = [name for name in fields.fieldNames() if name in MEASURES]
+    if not measures:
+        return objects
+    words = r"true|false"
+
+    def numbered(message: Column, typed: Column) -> Column:
+        def field(name: str) -> Column:
+            kind = F.schema_of_variant(F.try_variant_get(typed, f"$.{name}", "variant"))
+            number = F.when(message[name] == "true", "1.0").otherwise("0.0")
+            return F.when(kind == "BOOLEAN", number).otherwise(message[name])
+
+        return F.struct(*[(field(name) if name in measures else message[name]).alias(name) for name in fields.fieldNames()])
+
+    has_words = F.col("raw_payload").rlike(words) & outside.rlike(words)
+    return F.when(has_words & (F.size(objects) == 1), F.zip_with(objects, F.array(F.try_parse_json("raw_payload")), numbered)).otherwise(objects)

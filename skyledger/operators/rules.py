@@ -38,13 +38,27 @@ def required_rules() -> list[Rule]:
     return [(_blank(name), fv.MISSING_REQUIRED_FIELD, _quoted(name)) for name in fv.REQUIRED_FIELDS]
 
 
-def domain_rules() -> list[Rule]:
+def domain_rules(by_dimension: bool = False) -> list[Rule]:
+    """The satellites are a short list, or those that ``with_known_satellites`` has marked."""
     domains = [
         ("satellite_id", fv.SATELLITES, fv.INVALID_SATELLITE),
         ("ground_station_id", fv.GROUND_STATIONS, fv.INVALID_GROUND_STATION),
         ("subsystem", fv.SUBSYSTEMS, fv.INVALID_SUBSYSTEM),
     ]
-    return [(f"message.{name} NOT IN {_listed(domain)}", code, f"message.{name}") for name, domain, code in domains]
+    rules = [(f"message.{name} NOT IN {_listed(domain)}", code, f"message.{name}") for name, domain, code in domains]
+    if by_dimension:
+        rules[0] = ("known_satellite IS NULL", *rules[0][1:])
+    return rules
+
+
+def with_known_satellites(parsed: DataFrame, satellites: DataFrame) -> DataFrame:
+    """``known_satellite``: the message's satellite if the dimension (``satellite_id``) has it.
+
+    An equality join, for fleets too large for a list. Spark broadcasts the ids while they are small by its own
+    measure; beyond that it shuffles, and splits a satellite with very many messages.
+    """
+    known = satellites.select(F.col("satellite_id").alias("known_satellite")).where("known_satellite IS NOT NULL").distinct()
+    return parsed.join(known, F.col("message.satellite_id") == F.col("known_satellite"), "left")
 
 
 def time_rules() -> list[Rule]:
@@ -93,8 +107,8 @@ def foreign_measure_rules() -> list[Rule]:
     return [(broken, fv.INVALID_NUMERIC_TYPE, "message.subsystem")]
 
 
-def general_rules() -> list[Rule]:
-    return payload_rules() + required_rules() + domain_rules() + time_rules()
+def general_rules(by_dimension: bool = False) -> list[Rule]:
+    return payload_rules() + required_rules() + domain_rules(by_dimension) + time_rules()
 
 
 def own_rules(subsystem: str) -> list[Rule]:
@@ -107,7 +121,7 @@ def all_rules() -> list[Rule]:
     return general_rules() + own + foreign_measure_rules()
 
 
-def failed_rule() -> str:
+def failed_rule(by_dimension: bool = False) -> str:
     """Number of the first rule that fails, else NULL.
 
     General rules come first, then those of the record's own subsystem, then foreign measures.
@@ -118,7 +132,7 @@ def failed_rule() -> str:
         branches = " ".join(f"WHEN {test} THEN {next(numbered)}" for test, _, _ in rules)
         return f"CASE {branches} ELSE {otherwise} END"
 
-    general = first(general_rules(), otherwise="{measured}")
+    general = first(general_rules(by_dimension), otherwise="{measured}")
     own = " ".join(f"WHEN {_quoted(s)} THEN {first(own_rules(s))}" for s in fv.SUBSYSTEMS)
     foreign = first(foreign_measure_rules())
     return general.replace("{measured}", f"coalesce(CASE message.subsystem {own} END, {foreign})")
@@ -135,14 +149,19 @@ def reason_columns(rule: str) -> list[str]:
     ]
 
 
-def validate(parsed: DataFrame, now: Column) -> DataFrame:
-    """One row per payload: typed fields, plus ``reason_code`` and ``reason_detail`` (NULL if valid)."""
+def validate(parsed: DataFrame, now: Column, satellites: DataFrame | None = None) -> DataFrame:
+    """One row per payload: typed fields, plus ``reason_code`` and ``reason_detail`` (NULL if valid).
+
+    ``satellites`` is a dimension to look satellites up in, in the place of the built-in list; the rules keep their order.
+    """
+    if satellites is not None:
+        parsed = with_known_satellites(parsed, satellites)
     typed = parsed.withColumn("now", now).selectExpr(
         "*",
         *[f"{utc_time('message.' + name)} AS {name}" for name in fv.TIME_FIELDS],
         *[f"{number('message.' + name)} AS {name}" for name in MEASURES],
     )
-    return materialise(typed, F.expr(failed_rule()), "failed_rule").selectExpr(
+    return materialise(typed, F.expr(failed_rule(satellites is not None)), "failed_rule").selectExpr(
         "raw_payload",
         *[f"message.{name} AS {name}" for name in fv.ID_FIELDS],
         "message.event_timestamp AS event_text",

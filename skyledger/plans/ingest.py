@@ -30,9 +30,9 @@ def enveloped(checked: DataFrame, as_of: str | None = None) -> DataFrame:
     )
 
 
-def validated(messages: DataFrame, as_of: str | None = None) -> DataFrame:
-    """Every message with typed fields and the reason of its rejection, if any."""
-    return validate(parse_payloads(messages, schemas.PAYLOAD), processing_time(as_of))
+def validated(messages: DataFrame, as_of: str | None = None, satellites: DataFrame | None = None) -> DataFrame:
+    """Every message with typed fields and the reason of its rejection, if any. ``satellites``: a dimension, see ``validate``."""
+    return validate(parse_payloads(messages, schemas.PAYLOAD), processing_time(as_of), satellites)
 
 
 def quarantined(checked: DataFrame, as_of: str | None = None) -> DataFrame:

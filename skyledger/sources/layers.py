@@ -7,6 +7,10 @@ Three kinds of table:
   days writes these alone and a new manifest; the files of all other days stay.
 * *whole*: ``v1``, ``v2``, …, the newest finished one counts.
 
+An appended table that a stream fills has no batches; the stream's own log says which files count. Its days can be
+*closed*: their many small files are rewritten as a table by day, ``<table>_closed``, sorted by cluster keys, and readers
+take closed days from there. The stream's files and log stay as they are.
+
 A reader keeps what it has opened: the version before the newest is removed one rebuild later.
 """
 
@@ -24,6 +28,7 @@ from skyledger.sources.ledger import Ledger
 DAY = "partition_date"
 BATCH = "batch_id"
 VERSION = "version"
+CLOSED = "_closed"
 
 
 @dataclass(frozen=True)
@@ -96,12 +101,12 @@ class Layers:
         self.ledger = Ledger(spark, self.root)
 
     def folder(self, table: str) -> str:
-        return f"{self.root}/{LAYOUTS[table].layer}/{table}"
+        return f"{self.root}/{LAYOUTS[table.removesuffix(CLOSED)].layer}/{table}"
 
     # --- versions and manifests ---------------------------------------------------------------
 
     def _is_by_day(self, table: str) -> bool:
-        return LAYOUTS[table].schema is None and LAYOUTS[table].day_of is not None
+        return table.endswith(CLOSED) or (LAYOUTS[table].schema is None and LAYOUTS[table].day_of is not None)
 
     def path(self, table: str) -> str:
         """Where the rows of a table are now: its folder, or the newest finished version of a whole table."""
@@ -186,7 +191,11 @@ class Layers:
         partitions = [T.StructField(DAY, T.DateType())] + [T.StructField(BATCH, T.StringType())] * (not streamed)
         reader = self.spark.read.schema(T.StructType(LAYOUTS[table].schema.fields + partitions))
         if streamed:
-            return reader.parquet(folder)
+            live, closed = reader.parquet(folder), sorted(self.day_versions(f"{table}{CLOSED}"))
+            if not closed:
+                return live
+            rest = live.filter(~F.col(DAY).isin([F.lit(day).cast("date") for day in closed]))
+            return rest.unionByName(self._by_day(f"{table}{CLOSED}", days).select(rest.columns))
         paths = [folder]
         if isinstance(days, list):  # only these folders are listed
             paths = [path for path in (f"{folder}/{DAY}={day}" for day in days) if self.folders.exists(path)]
@@ -210,6 +219,20 @@ class Layers:
         rows = arranged(schemas.conform(df, layout.schema), layout).withColumn(BATCH, F.lit(batch_id or uuid.uuid4().hex))
         rows.write.mode("append").partitionBy(DAY, BATCH).parquet(self.folder(table))
 
+    def close_days(self, table: str, days: list[str]) -> None:
+        """Rewrite days of a stream's table to which no row can come any more, in few sorted files.
+
+        That is so for curated once the watermark has passed a day, and for the other tables once the day is over.
+        A closed day does not change: closing it again does nothing.
+        """
+        if not self._is_streamed(table):
+            raise ValueError(f"table {table} has no stream")
+        name = f"{table}{CLOSED}"
+        known = self.day_versions(name)
+        new = [day for day in days if day not in known]
+        if new:
+            self._replace_days(self.read(table, new).hint("rebalance", LAYOUTS[table].day_of), name, new)
+
     def forget(self, batch_id: str) -> None:
         """Remove what a run that died has stored of an open batch."""
         if self.ledger.is_done(batch_id):
@@ -248,7 +271,7 @@ class Layers:
         folder, manifests = self.folder(table), self._manifests(table)
         held = {name for name in self.folders.names(folder) if name.startswith(f"{VERSION}=")}
         number = max([0, *manifests, *(int(name.partition("=")[2]) for name in held)]) + 1
-        rows = arranged(df, LAYOUTS[table])
+        rows = arranged(df, LAYOUTS[table.removesuffix(CLOSED)])
         if days is not None:
             rows = rows.filter(F.col(DAY).isin([F.lit(d).cast("date") for d in days]))
         rows.write.partitionBy(DAY).parquet(f"{folder}/{VERSION}={number}")

@@ -95,6 +95,12 @@ class Telemetry:
         rows = self.quarantine.filter(F.col("reason_code") == code)
         return rows.select(*fv.ID_FIELDS, "reason_detail", "raw_payload")
 
+    def judged_by_dimension(self) -> DataFrame:
+        """Reasons with the satellites taken from a table: those that the events name."""
+        satellite = F.expr("concat('SAT-', lpad(string(user_id % 12 + 1), 2, '0'))").alias("satellite_id")
+        checked = ingest.validated(self.messages, AS_OF, self.events.select(satellite))
+        return checked.select(*fv.ID_FIELDS, "reason_code", "reason_detail")
+
     def curated_from_csv(self) -> DataFrame:
         """Write the received rows as CSV, then read, replay as messages and ingest them."""
         path = shared_dir(self.spark, "received-csv")
@@ -194,7 +200,9 @@ QUERIES: dict[str, Query] = {
     "accepted_readings": lambda t: t.accepted,
     "curated": lambda t: t.curated,
     "curated_from_numbers": lambda t: ingest.curated(messages(t.events, numeric=True), AS_OF),
+    "curated_from_booleans": lambda t: ingest.curated(messages(t.events, booleans=True), AS_OF),
     "curated_from_csv": lambda t: t.curated_from_csv(),
+    "validate_reasons_by_dimension": lambda t: t.judged_by_dimension(),
     # silver
     "silver_telemetry": lambda t: t.silver,
     "silver_power": lambda t: silver.silver_power(t.silver),

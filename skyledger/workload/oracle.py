@@ -363,6 +363,8 @@ def all_queries() -> dict[str, str]:
     sql = {
         "raw_envelope": query(_RAW),
         "validate_reasons": query(f"select {_IDS}, reason_code, reason_detail from judged"),
+        "validate_reasons_by_dimension": query(f"select {_IDS}, reason_code, reason_detail from judged"),
+        "curated_from_booleans": query("select * from curated"),
         "reason_counts": query("select reason_code, reason_detail, count(*) as message_count from judged group by all"),
         "quarantine": query("select * from quarantine"),
         "accepted_readings": query("select * from accepted"),

@@ -89,12 +89,15 @@ def received_rows(events: DataFrame) -> DataFrame:
     return base.selectExpr(*[f"{text} AS {name}" for name, text in fields.items()])
 
 
-def messages(events: DataFrame, numeric: bool = False) -> DataFrame:
-    """Messages as bytes. ``numeric`` writes measures as JSON numbers instead of strings."""
+def messages(events: DataFrame, numeric: bool = False, booleans: bool = False) -> DataFrame:
+    """Messages as bytes. ``numeric`` writes measures as JSON numbers instead of strings, ``booleans`` 0 and 1 as false and true."""
     rows = received_rows(events)
     text = F.to_json(F.struct(*PAYLOAD_FIELDS), {"ignoreNullFields": "false"})
     if numeric:
         text = F.regexp_replace(text, r':"(-?\d+(?:\.\d+)?)"', r":$1")
+    if booleans:
+        for value, word in (("0", "false"), ("1", "true")):
+            text = F.regexp_replace(text, rf'":"{value}\.0+"', f'":{word}')
     broken = (
         F.when(F.col("fault") == 13, F.substring(text, F.lit(1), F.length(text) - 1))
         .when(F.col("fault") == 14, F.concat(F.lit("["), text, F.lit("]")))

@@ -29,7 +29,7 @@ def ranges():
             yield payload(subsystem, **{name: high}), None, None
             yield payload(subsystem, **{name: low - 0.001}), W, name
             yield payload(subsystem, **{name: high + 0.001}), W, name
-            for bad in (None, "", "N/A", "28.0f", "0x1p3", True, [1], {"a": 1}):
+            for bad in (None, "", "N/A", "28.0f", "0x1p3", "true", [1], [True], {"a": 1}):
                 yield payload(subsystem, **{name: bad}), NUM, subsystem
             for infinite in ("NaN", "inf", "-Infinity", float("nan"), float("inf")):
                 yield payload(subsystem, **{name: infinite}), W, name
