@@ -7,7 +7,7 @@ is that length; ``write_buckets`` stores pieces of equal length together, ready
 padding. Packing needs no shuffle: a piece depends on its document alone.
 
 Tokens are made per white-space separated chunk. The tokenizer never joins characters across white
-space, so a bounded dictionary from chunk to ids serves the frequent words and the library encodes only
+space (control tokens spelt in a text hold none either, and become the tokens they spell), so a bounded dictionary from chunk to ids serves the frequent words and the library encodes only
 chunks it has not seen lately. Texts are handled in slices of about a megabyte, each document whole.
 
 Defined results: a null or empty text is the end token alone. Rows that repeat a ``doc_id`` are packed
@@ -65,7 +65,6 @@ class WordTokens:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
@@ -91,7 +90,7 @@ class WordTokens:
             self.older, self.known = self.known, {}
         known, older = self.known, self.older
         missing = set().union(*split).difference(known)
-        again = missing.intersection(older)
+        again = {w for w in missing if w in older}  # intersection() would walk through all older words
         known.update((w, older[w]) for w in again)
         fresh = list(missing - again)
         known.update(zip(fresh, self.encode(fresh), strict=True))
