@@ -31,7 +31,12 @@ ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']
 ACCESS = r"AKIA[A-Z0-9]{12,}"
 HEX = r"[0-9a-f]{32,}"
 KEY = r"[A-Za-z0-9+/_-]{20,}={0,2}"
-ENDPOINT = r"""https?://[A-Za-z0-9.-]+(?::[0-9]+)?[^\s"'<>]*|(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}:[0-9]{2,5}"""
+# A host begins where a run of labels begins (or where the match before ended) and never gives a label back, so that a
+# text of any length is read once, without a deep stack.
+ENDPOINT = (
+    r"""https?://[A-Za-z0-9.-]+(?::[0-9]+)?[^\s"'<>]*"""
+    r"""|(?:\G|(?<![A-Za-z0-9-])(?<![A-Za-z0-9-]\.))(?:[A-Za-z0-9-]++\.)++[A-Za-z]{2,}:[0-9]{2,5}"""
+)
 KINDS = ["assign", "access", "hex", "key", "endpoint"]
 SCOPE = 400
 BLOCK = 64
