@@ -21,6 +21,7 @@ import struct
 from collections.abc import Iterator
 from itertools import chain
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -38,7 +39,6 @@ _NO_WHITE_SPACE = re.compile("[\x1c-\x1f]")  # str.split cuts there, the tokeniz
 _SIGNS = string.punctuation
 _LATIN_END = "\u0180"  # beyond, lower case may depend on neighbours
 _DOTTED_I = "\u0130"
-_PACK = [struct.Struct(f"<{n}I").pack for n in range(32)]
 _ASCII_SPACE = re.compile(r"[\x20\t\n\r\f\v]+")
 
 
@@ -65,6 +65,8 @@ class WordTokens:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        marks = [(i, t) for i, t in self.tokenizer.get_added_tokens_decoder().items() if t.special and not (t.normalized or t.lstrip or t.rstrip or t.single_word)]
+        self.mark_id, self.mark = (marks[0][0], marks[0][1].content) if marks else (None, None)
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
@@ -79,11 +81,24 @@ class WordTokens:
                 fresh.append(p)
             else:
                 wanted[p] = ids
-        for p, e in zip(fresh, self.tokenizer.encode_batch_fast(fresh, add_special_tokens=False), strict=True):
-            ids = e.ids
-            wanted[p] = _PACK[len(ids)](*ids) if len(ids) < 32 else struct.pack(f"<{len(ids)}I", *ids)
+        wanted.update(zip(fresh, self._ids(fresh), strict=True))
         return [wanted[stem] + wanted[tail] if tail else wanted[stem] for stem, tail in parts]
 
+    def _ids(self, words: list[str]) -> list[bytes]:
+        """Ids of words. All go through the tokenizer as one text, with a control token, at which it starts anew, between them;
+        if its id is not found just there (a word spells it, say), one by one."""
+        if self.mark is not None and words:
+            found, = self.tokenizer.encode_batch_fast([self.mark.join(words)], add_special_tokens=False)
+            ids = np.array(found.ids, "<u4")
+            cuts = np.flatnonzero(ids == self.mark_id)
+            if len(cuts) == len(words) - 1:
+                data = ids.tobytes()
+                return [data[a:b] for a, b in zip([0, *(4 * cuts + 4).tolist()], [*(4 * cuts).tolist(), len(data)], strict=True)]
+            if len(words) > 1:
+                half = len(words) // 2
+                return self._ids(words[:half]) + self._ids(words[half:])
+        return [struct.pack(f"<{len(e.ids)}I", *e.ids) for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+
     def texts(self, texts: list[str]) -> Iterator[bytes]:
         split = [[w for w in _ASCII_SPACE.split(t) if w] if _NO_WHITE_SPACE.search(t) else t.split() for t in texts]
         if len(self.known) > CACHED_WORDS:

@@ -26,6 +26,6 @@ def test_hosts_are_those_of_the_plain_pattern(spark):
 @pytest.mark.parametrize("run", ["x" * MB, "a." * (MB // 2), "Ab9/+" * (MB // 5), "com.com:" * (MB // 8), "password" + " " * MB, "f" * MB, "1f-" * (MB // 3)])
 def test_long_runs_take_one_reading(spark, run):
     docs = spark.createDataFrame([(1, run), (2, run + " token=abcdefgh1")], "doc_id long, text string")
-    found = {r.doc_id: r for r in secrets.scan_secrets(docs).collect()}
-    assert (found[1].n_assign, found[2].n_assign, found[2].n_access) == (0, 1, 0)
-    assert found[2].n_hex == found[1].n_hex == (1 if run[0] == "f" else 0)
+    found = {r.doc_id: [s.kind for s in r.base] for r in secrets.scan_secrets(docs).collect()}
+    hexes = [2] if run[0] == "f" else []
+    assert sorted(found[1]) == hexes and sorted(found[2]) == [0, *hexes]
