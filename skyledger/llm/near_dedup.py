@@ -25,10 +25,11 @@ compared. A class has ``COORDINATES`` MinHash values; each (coordinate, value) p
 At a similarity of 0.85 two signatures agree in 27 of 32 coordinates on average; fewer than 16 agree with
 a probability of 5.7e-7 (3.3e-5 at 0.8): such a link is lost unless other documents connect the two.
 
-Shingles are compared by 64-bit hashes, sets by two 64-bit sums and their size. Defined results: null texts
+Shingles are compared by 64-bit hashes, sets by two 64-bit sums and their size; these three are the class's
+name up to the end, where each component takes the smallest id of its rows. Defined results: null texts
 and texts without words have the empty set, are linked to nothing and stay. Texts of one or two words are one
-shingle. Rows that repeat a ``doc_id`` count as one document. Rows without an id belong to the group of
-equal sets, but look for no near links of their own. Other columns are ignored.
+shingle. Every row is judged on its own text, so rows without an id and rows that share one are linked like
+any other; a component that has no id at all has a null one. Other columns are ignored.
 """
 
 import numpy as np
@@ -66,32 +67,37 @@ def _signature(values: np.ndarray) -> np.ndarray:
     return (low >> np.uint64(32)).astype(np.int64) | (np.arange(COORDINATES, dtype=np.int64) << 32)
 
 
+def _name(values: np.ndarray) -> bytes:
+    """Name of a set: its size and two sums."""
+    sums = [wh.mix(values).sum(dtype=np.uint64), wh.mix(values + np.uint64(77)).sum(dtype=np.uint64)]
+    return np.array([len(values), *sums], ">u8").tobytes()
+
+
 def sketch(docs: DataFrame, words: int = WORDS) -> DataFrame:
-    """doc_id, n_shingles, two sums that stand for the set, and its signature tokens."""
+    """doc_id, hash of the text, n_shingles, name of the set (null if empty) and its signature tokens."""
     schema = T.StructType([
-        docs.schema["doc_id"], T.StructField("n_shingles", T.LongType()), T.StructField("key1", T.LongType()),
-        T.StructField("key2", T.LongType()), T.StructField("tokens", T.ArrayType(T.LongType())),
+        docs.schema["doc_id"], T.StructField("text_hash", T.LongType()), T.StructField("n_shingles", T.LongType()),
+        T.StructField("id", T.BinaryType()), T.StructField("tokens", T.ArrayType(T.LongType())),
     ])
 
     def describe(batches):
         for batch in batches:
-            sizes, keys1, keys2, tokens = [], [], [], []
+            sizes, names, tokens = [], [], []
             for _, values in _sets(batch.column(1), words):
                 sizes.append(len(values))
-                keys1.append(int(wh.mix(values).sum(dtype=np.uint64).astype(np.int64)))
-                keys2.append(int(wh.mix(values + np.uint64(77)).sum(dtype=np.uint64).astype(np.int64)))
+                names.append(_name(values) if len(values) else None)
                 tokens.append(_signature(values) if len(values) else np.zeros(0, np.int64))
             flat = np.concatenate(tokens) if tokens else np.zeros(0, np.int64)
             bounds = np.concatenate([[0], np.cumsum([len(t) for t in tokens])]).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column(0), pa.array(sizes, pa.int64()), pa.array(keys1, pa.int64()), pa.array(keys2, pa.int64()),
+                    batch.column(0), batch.column(2), pa.array(sizes, pa.int64()), pa.array(names, pa.binary()),
                     pa.ListArray.from_arrays(pa.array(bounds), pa.array(flat)),
                 ],
                 names=schema.names,
             )
 
-    return map_arrow(docs, describe, schema)
+    return map_arrow(docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash")), describe, schema)
 
 
 def _nibbles(part: Column) -> Column:
@@ -145,17 +151,23 @@ def _partner_classes(n: int, numerator: int, denominator: int) -> range:
     return range(_size_class(max(1, -(-n * numerator // denominator))), _size_class(n * denominator // numerator) + 1)
 
 
-def full_sets(docs: DataFrame, ids: DataFrame, words: int, numerator: int = 1, denominator: int = 1) -> DataFrame:
-    """(doc_id, shingles, low, parities) of the documents whose id is in ``ids``, and of a few that a filter lets through.
+def full_sets(docs: DataFrame, classes: DataFrame, ids: DataFrame, words: int, numerator: int = 1, denominator: int = 1) -> DataFrame:
+    """(id, shingles, low, parities) of the classes in ``ids``, one row each, from the rows ``classes`` takes them from.
 
     ``parities`` holds the bitmaps for the size classes of similar sets, from the class ``low`` on.
     """
-    wanted = with_filter(docs, [F.col("doc_id")], key_filter(ids, ["doc_id"]), "maybe").where("maybe").select("doc_id", "text")
+    place = ["doc_id", "text_hash"]
+    asked = stage(classes.join(ids.distinct(), "id", "left_semi").select("id", *place, "copies"), "near-asked")
+    rows = with_filter(docs.withColumn("text_hash", F.xxhash64("text")), [F.col(c) for c in place], key_filter(asked, place), "maybe").where("maybe")
+    # Rows equal in id and text can't be told apart. They are few, or combined before their shuffle.
+    several = asked.where("copies > 1")
+    rows = with_filter(rows.drop("maybe"), [F.col(c) for c in place], key_filter(several, place), "repeated").select(*place, "text", "repeated")
+    wanted = rows.where("not repeated").drop("repeated").unionAll(rows.where("repeated").drop("repeated").distinct())
 
     def collect(batches):
         for batch in batches:
             rows, sets, held = [], [], 0
-            for row, values in _sets(batch.column(1), words):
+            for row, values in _sets(batch.column(2), words):
                 rows.append(row)
                 sets.append(values.view(np.int64))
                 held += len(values)
@@ -164,12 +176,19 @@ def full_sets(docs: DataFrame, ids: DataFrame, words: int, numerator: int = 1, d
                     rows, sets, held = [], [], 0
             yield _held(batch, rows, sets, numerator, denominator)
 
-    return stage(map_arrow(wanted, collect, "doc_id long, shingles array<long>, low int, parities array<array<long>>"), "near-sets")
+    longs = T.ArrayType(T.LongType())
+    schema = T.StructType([
+        docs.schema["doc_id"], T.StructField("text_hash", T.LongType()), T.StructField("id", T.BinaryType()),
+        T.StructField("shingles", longs), T.StructField("low", T.IntegerType()), T.StructField("parities", T.ArrayType(longs)),
+    ])
+    exact = asked.select(*[F.col(c).alias(f"a_{c}") for c in ("id", *place)])
+    same = (F.col("id") == F.col("a_id")) & (F.col("text_hash") == F.col("a_text_hash")) & F.col("doc_id").eqNullSafe(F.col("a_doc_id"))
+    return stage(map_arrow(wanted, collect, schema).join(exact, same, "left_semi").drop(*place), "near-sets")
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, numerator: int, denominator: int) -> DataFrame:
     """Those of the pairs (a, b) whose full sets are similar enough."""
-    side = lambda name: sets.select(F.col("doc_id").alias(f"{name}_id"), F.col("shingles").alias(f"{name}_set"))
+    side = lambda name: sets.select(F.col("id").alias(f"{name}_id"), F.col("shingles").alias(f"{name}_set"))
     both = pairs.join(side("a"), F.col("a") == F.col("a_id")).join(side("b"), F.col("b") == F.col("b_id"))
     # In the JVM row by row: an Arrow batch of pairs would hold two full sets for each of its rows.
     common = F.size(F.array_intersect("a_set", "b_set")).cast("long")
@@ -182,7 +201,7 @@ def shingle_postings(sets: DataFrame, numerator: int, denominator: int) -> DataF
 
     The order is from rare to frequent, so shingles that occur once come first; ``at`` counts them.
     """
-    sets = sets.select(F.col("doc_id").alias("id"), F.size("shingles").alias("n"), "shingles")
+    sets = sets.select("id", F.size("shingles").alias("n"), "shingles")
     exploded = sets.select("id", "n", F.explode("shingles").alias("token"))
     repeated = stage(exploded.groupBy("token").agg(F.count("*").alias("frequency")).where("frequency > 1"), "near-shingles")
     possible = with_filter(exploded, [F.col("token")], key_filter(repeated, ["token"]), "maybe").where("maybe").drop("maybe")
@@ -238,12 +257,14 @@ def _held(batch, rows: list[int], sets: list[np.ndarray], numerator: int, denomi
     cuts = np.concatenate([[0], np.cumsum([len(own) for own in classes])]).astype(np.int32)
     inner = np.concatenate([[0], np.cumsum([len(p) for p in parities])]).astype(np.int32)
     bits = pa.ListArray.from_arrays(pa.array(inner), pa.array(np.concatenate(parities) if parities else np.zeros(0, np.int64)))
+    own_rows = pa.array(rows, pa.int64())
     return pa.RecordBatch.from_arrays(
         [
-            batch.column(0).take(pa.array(rows, pa.int64())), pa.ListArray.from_arrays(pa.array(bounds), pa.array(flat)),
+            batch.column(0).take(own_rows), batch.column(1).take(own_rows),
+            pa.array([_name(s.view(np.uint64)) for s in sets], pa.binary()), pa.ListArray.from_arrays(pa.array(bounds), pa.array(flat)),
             pa.array([own.start for own in classes], pa.int32()), pa.ListArray.from_arrays(pa.array(cuts), bits),
         ],
-        names=["doc_id", "shingles", "low", "parities"],
+        names=["doc_id", "text_hash", "id", "shingles", "low", "parities"],
     )
 
 
@@ -252,17 +273,16 @@ def near_groups(
     id_col: str = "doc_id", text_col: str = "text",
 ) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id (smallest id reachable over links), kept."""
-    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     sketched = stage(sketch(docs, words), "near-sketch")
-    key = ["n_shingles", "key1", "key2"]
     filled = sketched.where("n_shingles > 0")
-    groups = stage(filled.groupBy(*key).agg(F.min("doc_id").alias("id")), "near-classes")
-    named = groups.select("id", *[F.col(c).alias(f"g_{c}") for c in key]).where("id is not null")
-    same = [F.col(c) == F.col(f"g_{c}") for c in key]
+    # A class is read again from one row of it: that of the smallest id, of rows of one id that of the smallest hash.
+    row = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")
+    copies = filled.groupBy("id", "doc_id", "text_hash").agg(F.count("*").alias("copies"), F.min("tokens").alias("tokens"))
     classes = stage(
-        filled.join(named, [F.col("doc_id") == F.col("id"), *same], "left_semi")
-        .select(F.col("doc_id").alias("id"), "tokens").dropDuplicates(["id"]),
-        "near-representatives",
+        copies.groupBy("id").agg(F.min_by(F.struct("doc_id", "text_hash", "copies"), row).alias("r"), F.min("tokens").alias("tokens"))
+        .select("id", "r.*", "tokens"),
+        "near-classes",
     )
     posted = stage(post(classes), "near-postings")
 
@@ -273,8 +293,8 @@ def near_groups(
     heads = stage(own.join(heads, (F.col("h_token") == F.col("l_token")) & (F.col("h_id") == F.col("first")), "inner"), "near-heads")
     to_head = posted.join(heads, (F.col("token") == F.col("h_token")) & (F.col("id") != F.col("h_id")) & _alike())
     pairs = stage(to_head.select(F.least("h_id", "id").alias("a"), F.greatest("h_id", "id").alias("b")).distinct(), "near-pairs")
-    ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b"))
-    links = confirmed(pairs, full_sets(docs, ids, words), numerator, denominator)
+    ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b"))
+    links = confirmed(pairs, full_sets(docs, classes, ids, words), numerator, denominator)
 
     place = stage(components(links), "near-first-components")
     in_lists = posted.join(lists.select(F.col("token").alias("l_token")), F.col("token") == F.col("l_token"), "left_semi")
@@ -284,24 +304,24 @@ def near_groups(
     )
     mixed = labelled.groupBy("token").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low < high").select(F.col("token").alias("m_token"))
     open_ = stage(
-        labelled.join(mixed, F.col("token") == F.col("m_token"), "left_semi").select(F.col("id").alias("doc_id"), "part").distinct(),
+        labelled.join(mixed, F.col("token") == F.col("m_token"), "left_semi").select("id", "part").distinct(),
         "near-open-ids",
     )
-    sets = full_sets(docs, open_, words, numerator, denominator)
-    parts = open_.select(F.col("doc_id").alias("id"), "part")
-    members = stage(
-        sets.select("doc_id", "low", "parities").join(parts, F.col("doc_id") == F.col("id")).select("id", "part", "low", "parities"), "near-members"
-    )
+    sets = full_sets(docs, classes, open_.select("id"), words, numerator, denominator)
+    members = stage(sets.select("id", "low", "parities").join(open_, "id").select("id", "part", "low", "parities"), "near-members")
     pairs = across(shingle_postings(sets, numerator, denominator), members, numerator, denominator)
     links = links.union(confirmed(pairs, sets, numerator, denominator))
 
     found = stage(components(links), "near-components")
+    named = stage(
+        classes.join(found, F.col("id") == F.col("node"), "left").select("id", "doc_id", F.coalesce("component", "id").alias("component")),
+        "near-named",
+    )
+    smallest = named.groupBy("component").agg(F.min("doc_id").alias("component_id")).withColumnRenamed("component", "s_component")
     where = stage(
-        groups.join(found, F.col("id") == F.col("node"), "left")
-        .select(*[F.col(c).alias(f"g_{c}") for c in key], F.coalesce("component", "id").alias("component_id")),
-        "near-places",
+        named.join(smallest, F.col("component") == F.col("s_component")).select(F.col("id").alias("w_id"), "component_id"), "near-places"
     )
-    grouped = filled.join(where, same).select("doc_id", "n_shingles", "component_id")
+    grouped = filled.join(where, F.col("id") == F.col("w_id")).select("doc_id", "n_shingles", "component_id")
     empty = sketched.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
     return grouped.union(empty).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 

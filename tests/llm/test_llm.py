@@ -284,7 +284,7 @@ def brute_groups(rows, size, share):
 
     for a, b in combinations(range(len(rows)), 2):
         both = len(sets[a] & sets[b])
-        near = rows[a][0] is not None and rows[b][0] is not None and both * 100 >= share * (len(sets[a]) + len(sets[b]) - both)
+        near = both * 100 >= share * (len(sets[a]) + len(sets[b]) - both)
         if sets[a] and (sets[a] == sets[b] or near):
             parent[root(a)] = root(b)
     out = []
