@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from skyledger.llm import decontaminate as benchmark
 from skyledger.llm import exact_dedup as exact
 from skyledger.llm import language, near_dedup, packing
-from skyledger.llm.tables import key_filter, row_key, stage, table, with_filter, without_keys
+from skyledger.llm.tables import row_key, stage, table, without_keys
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,25 +36,11 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def minhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group linked by a similarity of 0.8 on five-word shingles: the one with the smallest id.
-
-    Groups are found under a 64-bit hash of each row's key in the place of its id.
-    """
-    number = F.xxhash64(row_key())
-    judged = near_dedup.near_groups(docs.withColumn("__number", number), 80, 100, words=5, id_col="__number")
-    places = stage(judged.select(F.col("doc_id").alias("number"), "component_id"), "pipeline-near")
-    linked = places.groupBy("component_id").count().where("count > 1")
-    members = stage(
-        with_filter(places, [F.col("component_id")], key_filter(linked, ["component_id"]), "maybe").where("maybe")
-        .groupBy("number", "component_id").agg(F.count("*").alias("copies")),
-        "pipeline-near-members",
-    )
-    keys = docs.select(number.alias("k_number"), row_key().alias("key"))
-    keys = with_filter(keys, [F.col("k_number")], key_filter(members, ["number"]), "maybe").where("maybe").select("k_number", "key").distinct()
-    named = stage(members.join(keys, F.col("number") == F.col("k_number")).select("component_id", "copies", "key"), "pipeline-near-keys")
-    first = named.groupBy("component_id").agg(F.min("key").alias("first")).select("first")
-    dropped = named.join(first, F.col("key") == F.col("first"), "left").where("first is null")
-    return without_keys(docs, stage(dropped.select("key"), "pipeline-near-dropped"), named.where("copies > 1"))
+    """One document of each group of near copies (shingles of five words, similarity of 0.8 or more)."""
+    judged = near_dedup.near_groups(docs.withColumn("__key", row_key()), 80, 100, words=5, id_col="__key")
+    verdicts = stage(judged.select(F.col("doc_id").alias("key"), "kept"), "pipeline-near")
+    repeated = verdicts.where("kept").groupBy("key").count().where("count > 1")
+    return without_keys(docs, verdicts.where("not kept"), repeated)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
