@@ -7,14 +7,16 @@ partition needs: a document that holds at least the share ``t`` of an item's shi
 these, so no match is missed. Documents are streamed past the sketches, and each candidate pair is
 verified on the words of all its shingles.
 
-Items are handled in blocks of bounded size, each a broadcast of at most ``BLOCK_SHINGLES`` shingles
-(one larger item is a block of its own); a larger benchmark makes more blocks, hence more passes, and
-never a larger broadcast. Documents are not shuffled.
+Items are handled in blocks of bounded size, each a broadcast of about ``BLOCK_SHINGLES`` shingles
+(one larger item may lie in any block). A block is gathered, searched for, its matches written and its broadcast
+given up before the next one: a larger benchmark makes more passes over the documents, and never a larger
+broadcast or driver. Documents are not shuffled.
 
 Words are runs of letters and digits in lower case (characters beyond ASCII count as letters).
 Defined results: null and empty texts match nothing, and so do items of fewer than five words. A repeated
 item row counts once, items with equal ids and other texts are told apart by their text; a document row
-that repeats is reported each time. Null ids are kept. Other columns are ignored.
+that repeats is reported each time. Null ids are kept, ids may be of any type that Arrow knows. Very long texts
+are searched in whole; an empty table on either side gives no rows. Other columns are ignored.
 """
 
 import math
@@ -25,9 +27,10 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from skyledger.llm import wordhash as wh
-from skyledger.llm.tables import map_arrow, table, union_all
+from skyledger.llm.tables import map_arrow, stage, table, union_all
 
 WORDS = 5
 THRESHOLD = 0.8
@@ -130,9 +133,11 @@ def contained_items(
                     names=schema.names,
                 )
 
-        return map_arrow(rows, search, schema)
+        found = stage(map_arrow(rows, search, schema), "contained-items")
+        block.destroy()
+        return found
 
-    item_type = pa.string() if isinstance(items.schema["item_id"].dataType, T.StringType) else pa.int64()
+    item_type = to_arrow_type(items.schema["item_id"].dataType)
     return union_all([one(b) for b in range(blocks)])
 
 
