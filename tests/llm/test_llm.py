@@ -332,6 +332,8 @@ def test_decontamination(spark, docs, none):
     for size in (10**6, 30):  # one block, and several
         got = decontaminate.contained_items(docs, table, block_shingles=size).collect()
         assert sorted(map(str, map(tuple, got))) == sorted(map(str, expect))
+    numbered = decontaminate.contained_items(docs, table.withColumn("item_id", F.col("item_id").cast("int")))
+    assert numbered.schema["item_id"].dataType.simpleString() == "int" and sorted(map(str, map(tuple, numbered.collect()))) == sorted(map(str, expect))
     assert decontaminate.contained_items(none, table).count() == 0
     assert decontaminate.contained_items(docs, table.limit(0)).count() == 0
 
@@ -348,6 +350,12 @@ def test_bounded_sample_takes_the_first_hashes_of_each_class(spark):
         wanted = [(str(i), n) for n, i in enumerate(filter(member, order), 1)][:70]
         assert sorted((r.text, r["rank"]) for r in got if r.cls == cls) == sorted(wanted)
     assert len(got) == 70 + 60
+    twice = texts.union(texts.select("doc_id", F.lit("zz"))).union(texts.select("doc_id", F.lit(None).cast("string")))
+    again = samples.bounded_sample(twice, rows, 70).collect()  # an id that several rows have brings one of its texts
+    assert sorted((r.doc_id, r.cls, r["rank"]) for r in again) == sorted((r.doc_id, r.cls, r["rank"]) for r in got)
+    assert all(r.text in (str(r.doc_id), "zz") for r in again)
+    assert len(samples.bounded_sample(texts, rows, 2500).collect()) == 2500 + 60
+    assert spark.conf.get("spark.sql.optimizer.windowGroupLimitThreshold") == "1000"
 
 
 def test_language(spark, docs, none):
