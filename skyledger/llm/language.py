@@ -2,13 +2,19 @@
 
 A document is described by the square roots of its relative frequencies of hashed byte n-grams of one to
 four letters of its whole text. One-versus-rest linear SVMs choose the language family; then, within the
-family, one-versus-rest linear SVMs separate the closely related languages. The SVMs (squared hinge loss)
-are fitted in numpy, one Spark task each for the families and for every family's languages, on at most
-``PER_LANGUAGE`` documents a language. Features see letters only; language, source and id are never inputs.
-
-The score is the probability of the family times that of the language within it, from the margins by a
-softmax. Documents without a letter, or a null text, are ``und`` with score 0; so is every document when
-there is nothing to learn from. Rows that repeat are judged each; other columns are ignored.
+family, one linear SVM for every two languages separates the closely related ones: each votes for one of its
+two, the most votes win, and the coupled probability decides between equals (then the first by name). The SVMs
+(squared hinge loss) are fitted in numpy, one Spark task for the families and one for every two languages of a
+family. Features see letters only; language, source and id are never inputs.
+
+Samples are bounded: ``PER_LANGUAGE`` documents a language, so a task for two languages holds twice as many
+vectors of ``4 * DIMS`` bytes; the families' task gets ``FAMILY_ROWS`` in all, the same number of each language
+(one at least).
+
+The score is the probability of the family, from its margins by a softmax, times that of the language within
+it, coupled from those of its pairs. Documents without a letter, or a null text, are ``und`` with score 0; so
+is every document when there is nothing to learn from (an empty table, or no row with a language). Very long
+texts are read whole, in slices. Rows that repeat are judged each; other columns are ignored.
 """
 
 import numpy as np
@@ -24,6 +30,7 @@ from skyledger.llm.samples import bounded_sample, held_out
 from skyledger.llm.tables import map_arrow, table
 
 PER_LANGUAGE = 800
+FAMILY_ROWS = 8000
 DIMS = 4096
 ORDERS = (1, 2, 3, 4)
 SHARPNESS = 4.0
@@ -86,61 +93,109 @@ def fit_svm(x: np.ndarray, y: np.ndarray, penalty: float = 1e-4, steps: int = 25
     return w[:-1], float(w[-1])
 
 
-def train(sample: DataFrame) -> dict[str, tuple[list[str], np.ndarray, np.ndarray]]:
-    """Models by name (``families`` and one per family): classes, weight matrix and biases."""
+def train(sample: DataFrame, family_rows: int = FAMILY_ROWS) -> dict[str, tuple[list[str], np.ndarray, np.ndarray]]:
+    """Models by name (``families`` and one per family): classes, weight matrix and biases.
+
+    The families have a column for every class, a family one for every two of its languages in the order of
+    ``_pairs``; a positive margin speaks for the first of the two. ``sample`` holds cls, rank and text.
+    """
+    languages = sorted(r.cls for r in sample.select("cls").distinct().collect())
+    if not languages:
+        return {}
+    members = {}
+    for language in languages:
+        members.setdefault(family(language), []).append(language)
+    shared = max(1, family_rows // len(languages))
 
     def describe(batches):
         for batch in batches:
-            languages = batch.column(0).to_pylist()
-            for first, matrix in features(batch.column(1)):
-                own = languages[first : first + len(matrix)]
-                vectors = [row.astype(np.float32).tobytes() for row in matrix]
-                for model, classes in (("families", [family(x) for x in own]), (None, own)):
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([model or f"family {family(x)}" for x in own]), pa.array(classes), pa.array(vectors, pa.binary())],
-                        names=["model", "cls", "vector"],
-                    )
+            named = list(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()))
+            for first, matrix in features(batch.column(2)):
+                rows = []
+                for (language, rank), vector in zip(named[first : first + len(matrix)], matrix):
+                    own, data = family(language), vector.astype(np.float32).tobytes()
+                    if rank <= shared:
+                        rows.append(("families", "", language, rank, data))
+                    for other in members[own]:
+                        if other != language:
+                            rows.append((own, " ".join(sorted((language, other))), language, rank, data))
+                if rows:
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)], names=["model", "pair", "cls", "rank", "vector"])
 
     def fit(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values(["cls", "rank"])
         x = np.frombuffer(b"".join(rows["vector"]), np.float32).reshape(-1, DIMS)
-        names = sorted(set(rows["cls"]))
-        fitted = [fit_svm(x, (rows["cls"] == c).to_numpy()) if len(names) > 1 else (np.zeros(DIMS, np.float32), 0.0) for c in names]
+        name, pair = rows["model"].iloc[0], rows["pair"].iloc[0]
+        classes = rows["cls"] if pair else rows["cls"].map(family)
+        names = [min(classes)] if pair else sorted(set(classes))
+        fitted = [fit_svm(x, (classes == c).to_numpy()) for c in names]
         return pd.DataFrame({
-            "model": rows["model"].iloc[0], "cls": names,
+            "model": name, "column": [pair or c for c in names],
             "weights": [w.astype(np.float32).tobytes() for w, _ in fitted], "bias": [b for _, b in fitted],
         })
 
-    described = map_arrow(sample.select(F.col("cls"), "text"), describe, "model string, cls string, vector binary")
-    found = described.groupBy("model").applyInPandas(fit, "model string, cls string, weights binary, bias double").collect()
-    models = {}
-    for name in {r.model for r in found}:
-        own = sorted((r for r in found if r.model == name), key=lambda r: r.cls)
-        models[name] = (
-            [r.cls for r in own], np.array([np.frombuffer(r.weights, np.float32) for r in own]).T, np.array([r.bias for r in own]),
-        )
+    described = map_arrow(
+        sample.select("cls", F.col("rank").cast("long").alias("rank"), "text"), describe,
+        "model string, pair string, cls string, rank bigint, vector binary",
+    )
+    fitted = described.groupBy("model", "pair").applyInPandas(fit, "model string, column string, weights binary, bias double")
+    found = {(r.model, r.column): r for r in fitted.collect()}
+
+    def columns(model, names):
+        weights = [np.frombuffer(found[model, name].weights, np.float32) for name in names]
+        return np.array(weights, np.float32).reshape(len(names), DIMS).T, np.array([found[model, name].bias for name in names])
+
+    models = {f"family {name}": (own, *columns(name, [f"{own[i]} {own[j]}" for i, j in _pairs(len(own))])) for name, own in members.items()}
+    models["families"] = (sorted(members), *columns("families", sorted(members)))
     return models
 
 
-def _shares(model, matrix: np.ndarray) -> np.ndarray:
+def _pairs(n: int) -> list[tuple[int, int]]:
+    return [(i, j) for i in range(n) for j in range(i + 1, n)]
+
+
+def _family_shares(model, matrix: np.ndarray) -> np.ndarray:
     _, weights, bias = model
     margins = SHARPNESS * (matrix @ weights + bias)
     e = np.exp(margins - margins.max(axis=1, keepdims=True))
     return e / e.sum(axis=1, keepdims=True)
 
 
+def _vote(model, matrix: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Index and coupled probability of the language that most of its pairs prefer.
+
+    With p(i, j) the logistic of a pair's doubled margin, a language's share is 1 / (sum over j of 1 / p(i, j)
+    - (n - 2)), made to add up to one: exact where the pairs agree with one distribution.
+    """
+    names, weights, bias = model
+    n = len(names)
+    votes, inverse = np.zeros((len(matrix), n)), np.full((len(matrix), n), 2.0 - n)
+    margins = matrix @ weights + bias
+    for k, (i, j) in enumerate(_pairs(n)):
+        odds = np.exp(np.clip(-2 * SHARPNESS * margins[:, k], -300, 300))
+        votes[:, i] += margins[:, k] >= 0
+        votes[:, j] += margins[:, k] < 0
+        inverse[:, i] += 1 + odds
+        inverse[:, j] += 1 + 1 / odds
+    shares = 1 / inverse
+    shares /= shares.sum(axis=1, keepdims=True)
+    most = np.where(votes == votes.max(axis=1, keepdims=True), shares, -1.0).argmax(axis=1)
+    return most, shares[np.arange(len(matrix)), most]
+
+
 def judge(models, matrix: np.ndarray) -> tuple[list[str], np.ndarray]:
-    """Language and score of each row: the best family, then the best language within it."""
+    """Language and score of each row: the best family, then the language within it that most pairs prefer."""
     families = models["families"][0]
-    shares = _shares(models["families"], matrix)
+    shares = _family_shares(models["families"], matrix)
     best = shares.argmax(axis=1)
     names, scores = np.empty(len(matrix), object), shares[np.arange(len(matrix)), best]
     for k, name in enumerate(families):
         rows = np.flatnonzero(best == k)
         if len(rows):
             model = models[f"family {name}"]
-            within = _shares(model, matrix[rows])
-            names[rows] = np.array(model[0], object)[within.argmax(axis=1)]
-            scores[rows] *= within.max(axis=1)
+            chosen, share = _vote(model, matrix[rows])
+            names[rows] = np.array(model[0], object)[chosen]
+            scores[rows] *= share
     return list(names), scores
 
 
