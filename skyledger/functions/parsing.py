@@ -17,11 +17,11 @@ NUMBER_SHAPE = (
 PLAIN_TIME_SHAPE = r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}:\d{2}(?:\.\d+)?(?:Z|[+-]\d{2}:\d{2})?$"
 
 # Any ISO-8601 form: calendar or week date, extended or basic, any one-character separator.
-ANY_TIME_SHAPE = (
-    r"(?s)^\d{4}(?:-\d{2}-\d{2}|\d{4}|-W\d{2}(?:-[1-7])?|W\d{2}[1-7]?)"
-    r"(?:.\d{2}(?::\d{2}(?::\d{2}(?:[.,]\d+)?)?|\d{2}(?:\d{2}(?:[.,]\d+)?)?)?"
-    r"(?:[+-]\d{2}(?::?\d{2}(?::?\d{2})?)?)?)?$"
-)
+_DATE = r"\d{4}(?:-\d{2}-\d{2}|\d{4}|-W\d{2}(?:-[1-7])?|W\d{2}[1-7]?)"
+_CLOCK = r".\d{2}(?::\d{2}(?::\d{2}(?:[.,]\d+)?)?|\d{2}(?:\d{2}(?:[.,]\d+)?)?)?"
+ANY_TIME_SHAPE = rf"(?s)^{_DATE}(?:{_CLOCK}(?:[+-]\d{{2}}(?::?\d{{2}}(?::?\d{{2}})?)?)?)?$"
+# Offsets of 18 to 24 hours, which ISO-8601 allows and Spark's own parser does not.
+FAR_OFFSET = rf"(?s)^({_DATE}{_CLOCK})([+-])(1[89]|2[0-3])(?::?([0-5]\d)(?::?([0-5]\d))?)?$"
 WEEK_DATE = r"^\d{4}-?W(\d{2})-?([1-7]?)"
 
 
@@ -51,8 +51,13 @@ def utc_time(text: str) -> str:
 
 
 def _any_utc_time(text: str) -> str:
-    """Other forms are brought into the everyday one, piece by piece."""
-    zoned = f"replace({text}, 'Z', '+00:00')"
+    """Other forms are brought into the everyday one, piece by piece; a far offset is taken off afterwards."""
+    zoned = f"regexp_replace(replace({text}, 'Z', '+00:00'), r'{FAR_OFFSET}', '$1+00:00')"
+    sign, hours, minutes, seconds = (f"regexp_extract({text}, r'{FAR_OFFSET}', {group})" for group in (2, 3, 4, 5))
+    far = f"""CASE WHEN {text} RLIKE r'{FAR_OFFSET}'
+                   THEN make_dt_interval(0, int({hours}), int(concat('0', {minutes})), int(concat('0', {seconds})))
+                        * if({sign} = '-', -1, 1)
+                   ELSE make_dt_interval() END"""
     week = f"int(regexp_extract({zoned}, r'{WEEK_DATE}', 1))"
     weekday = f"int(coalesce(nullif(regexp_extract({zoned}, r'{WEEK_DATE}', 2), ''), '1'))"
     first_monday = f"date(date_trunc('week', try_cast(concat(left({zoned}, 4), '-01-04') AS TIMESTAMP)))"
@@ -64,5 +69,8 @@ def _any_utc_time(text: str) -> str:
     separated = rf"regexp_replace({dated}, r'(?s)^(.{{10}}).', '$1T')"
     clock = rf"regexp_replace({separated}, r'T(\d{{2}})(\d{{2}})(\d{{2}})', 'T$1:$2:$3')"
     clock = rf"regexp_replace({clock}, r'T(\d{{2}})(\d{{2}})', 'T$1:$2')"
+    # Spark takes an offset only after seconds.
+    clock = rf"regexp_replace({clock}, r'T(\d{{2}})([+-])', 'T$1:00$2')"
+    clock = rf"regexp_replace({clock}, r'T(\d{{2}}:\d{{2}})([+-])', 'T$1:00$2')"
     return f"""CASE WHEN {zoned} RLIKE r'{ANY_TIME_SHAPE}'
-                    THEN try_to_timestamp(replace({clock}, ',', '.')) END"""
+                    THEN try_to_timestamp(replace({clock}, ',', '.')) - {far} END"""

@@ -40,6 +40,11 @@ def test_times(spark):
         "2026-08-01T", "2026-08-01T1", "2026-08-01T24:00:00", "2026-08-01T10:60:00", "2026-08-01T10:15:60",
         "2026-08-01T10:15:30z", "2026-08-01T10:15:30 UTC", "2026-08-01T10:15:30Europe/Paris",
         "2026-08-01T10:15:30.", "0000-01-01", "2026-0801", "202608-01", " 2026-08-01", "2026-08-01 ", "now",
+        "2026-08-01T10:15:30+18:00", "2026-08-01T10:15:30+18:30", "2026-08-01T10:15:30.25-19:00", "2026-08-01T10:15:30+23:59",
+        "2026-08-01T10:15:30-23:59:59", "2026-08-01T10:15:30+24:00", "2026-08-01T10:15:30-99", "2026-08-01 05+2330",
+        "20260801T0500-190030", "2026-08-01-05-19", "2026-08-01-19", "2026-08-19", "2026-W31-6T10-20", "2026-08-01T10:60:00+20:00",
+        "2026-02-30T10:00:00+20:00", "2026-08-01T10:15:30+20:", "2026-08-01T10:15:30,5+20", "20260801-2000", "2026-08-01+20:00",
+        "2026-08-01T10+05:30", "2026-08-01T10:15Z", "2026-08-01T1015-0800", "2026-08-01T10:15+02", "2026-W31-6T10Z", "20260801T10+0530",
     ]
     got = spark.createDataFrame([(t,) for t in texts], "t string").select(
         "t", F.expr(utc_time("t")).cast("timestamp_ntz").alias("time")).collect()
