@@ -8,12 +8,14 @@ padding. Packing needs no shuffle: a piece depends on its document alone.
 
 Tokens are made per white-space separated chunk. The tokenizer never joins characters across white
 space (control tokens spelt in a text hold none either, and become the tokens they spell), so a bounded dictionary from chunk to ids serves the frequent words and the library encodes only
-chunks it has not seen lately. Texts are handled in slices of about a megabyte, each document whole.
+chunks it has not seen lately. Of these, words of letters alone need neither the tokenizer's normalizer nor its
+patterns: its model encodes them as one text. Texts are handled in slices of about a megabyte, each document whole.
 
 Defined results: a null or empty text is the end token alone. Rows that repeat a ``doc_id`` are packed
 each. Other columns are ignored, whatever their names. An empty table gives no piece.
 """
 
+import json
 import os
 import re
 import string
@@ -21,6 +23,7 @@ import struct
 from collections.abc import Iterator
 from itertools import chain
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -40,6 +43,63 @@ _LATIN_END = "\u0180"  # beyond, lower case may depend on neighbours
 _DOTTED_I = "\u0130"
 _PACK = [struct.Struct(f"<{n}I").pack for n in range(32)]
 _ASCII_SPACE = re.compile(r"[\x20\t\n\r\f\v]+")
+_WORD_END = "</w>"
+_JOINED = 4000  # words in one text to the model
+# With these a lower-case word of Latin letters is one piece, encoded as its bytes.
+_NORMALIZER = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]}
+_PRE_TOKENIZER = {"type": "Sequence", "pretokenizers": [
+    {"type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"}, "behavior": "Removed", "invert": True},
+    {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+]}
+
+
+def _byte_signs() -> dict[int, str]:
+    """The signs that stand for bytes which are none themselves, as the ByteLevel step writes them."""
+    own = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    return {b: chr(0x100 + n) for n, b in enumerate(b for b in range(0x100) if b not in own)}
+
+
+_BYTE_SIGNS = _byte_signs()
+
+
+def _byte_level(word: str) -> str:
+    return word if word.isascii() else word.encode().decode("latin-1").translate(_BYTE_SIGNS)
+
+
+class LetterWords:
+    """The tokenizer's model alone, for lower-case words of Latin letters: many at once, told apart by their last ids."""
+
+    def __init__(self, tokenizer):
+        from tokenizers import Tokenizer, pre_tokenizers
+
+        self.model = Tokenizer(tokenizer.model)
+        self.model.pre_tokenizer = pre_tokenizers.Split(" ", "removed")
+        vocabulary = self.model.get_vocab()
+        self.last = np.zeros(max(vocabulary.values()) + 1, bool)
+        for token, number in vocabulary.items():
+            self.last[number] = token.endswith(_WORD_END)
+
+    @staticmethod
+    def serves(tokenizer) -> bool:
+        """Whether the steps before the model are those that this class leaves out, and the model ends each word visibly."""
+        parts = json.loads(tokenizer.to_str())
+        model = parts["model"]
+        return (
+            parts["normalizer"] == _NORMALIZER and parts["pre_tokenizer"] == _PRE_TOKENIZER and parts["post_processor"] is None
+            and parts["truncation"] is None and parts["padding"] is None
+            and model["type"] == "BPE" and model["end_of_word_suffix"] == _WORD_END and not model["dropout"] and not model["ignore_merges"]
+            and all(sign in model["vocab"] and sign + _WORD_END in model["vocab"] for sign in map(chr, {*range(0x100), *map(ord, _BYTE_SIGNS.values())} - set(_BYTE_SIGNS)))
+        )
+
+    def encode(self, words: list[str]) -> Iterator[bytes]:
+        for k in range(0, len(words), _JOINED):
+            some = words[k : k + _JOINED]
+            ids = np.array(self.model.encode_batch_fast([" ".join(map(_byte_level, some))], add_special_tokens=False)[0].ids, "<u4")
+            cuts = (4 * (np.flatnonzero(self.last[ids]) + 1)).tolist()
+            if len(cuts) != len(some):
+                raise ValueError("the model's words can't be told apart")
+            raw = ids.tobytes()
+            yield from map(raw.__getitem__, map(slice, [0, *cuts[:-1]], cuts))
 
 
 def tokenizer_path() -> str:
@@ -48,13 +108,13 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
-def _parts(chunk: str) -> tuple[str, str]:
-    """Letters (case folded where that is safe) and the ASCII signs after them, or the whole chunk."""
+def _parts(chunk: str) -> tuple[str, str, bool]:
+    """Letters (case folded where that is safe, and whether it was) and the ASCII signs after them, or the whole chunk."""
     stem = chunk.rstrip(_SIGNS)
     if not stem.isalpha() or _DOTTED_I in stem:  # its lower case ends in a mark, which is no letter
-        return chunk, ""
-    tail = chunk[len(stem) :]
-    return stem.lower() if stem < _LATIN_END and max(stem) < _LATIN_END else stem, tail
+        return chunk, "", False
+    folded = stem.isascii() or max(stem) < _LATIN_END
+    return stem.lower() if folded else stem, chunk[len(stem) :], folded
 
 
 class WordTokens:
@@ -65,6 +125,7 @@ class WordTokens:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.letters = LetterWords(self.tokenizer) if LetterWords.serves(self.tokenizer) else None
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
@@ -72,17 +133,20 @@ class WordTokens:
         """Ids of chunks. Letters followed by ASCII signs are two words to the tokenizer: the case-folded
         letters and the signs are encoded once for all chunks that share them."""
         parts = [_parts(c) for c in chunks]
-        wanted = {p: b"" for p in chain.from_iterable(parts)}
-        fresh = []
-        for p in wanted:
-            if (ids := self.known.get(p)) is None:
-                fresh.append(p)
-            else:
-                wanted[p] = ids
+        letters = {stem for stem, _, folded in parts if folded}
+        others = {p for stem, tail, folded in parts for p in ((tail,) if folded else (stem, tail))}
+        if not self.letters:
+            letters, others = set(), letters | others
+        known = self.known
+        wanted = {p: known[p] for p in chain(letters, others) if p in known}
+        words = [p for p in letters if p not in wanted]
+        fresh = [p for p in others if p not in wanted]
+        if words:
+            wanted.update(zip(words, self.letters.encode(words), strict=True))
         for p, e in zip(fresh, self.tokenizer.encode_batch_fast(fresh, add_special_tokens=False), strict=True):
             ids = e.ids
             wanted[p] = _PACK[len(ids)](*ids) if len(ids) < 32 else struct.pack(f"<{len(ids)}I", *ids)
-        return [wanted[stem] + wanted[tail] if tail else wanted[stem] for stem, tail in parts]
+        return [wanted[stem] + wanted[tail] if tail else wanted[stem] for stem, tail, _ in parts]
 
     def texts(self, texts: list[str]) -> Iterator[bytes]:
         split = [[w for w in _ASCII_SPACE.split(t) if w] if _NO_WHITE_SPACE.search(t) else t.split() for t in texts]
