@@ -14,7 +14,7 @@ by hashing, with work in proportion to the text:
 4. Documents that lose words, and no others, are brought together with the starts of their windows.
 
 Windows are compared by 64-bit hashes of their words. Documents rank by id, a null id after all others, and
-rows of one id, or of none, by a 64-bit hash of their whole text. Id and hash are the key of a row: its windows
+rows of one id, or of none, by a 64-bit hash of their whole text, which a row that alone has its id needs not. Id and hash are the key of a row: its windows
 are its own, whatever other rows share its id. Rows equal in id and text are one document that repeats: neither
 is earlier than the other, and each gets the same result. A null text has no words; a text of fewer than 20
 words loses none. Other columns are ignored.
@@ -72,13 +72,21 @@ def _breaks(rows: np.ndarray, anchors: np.ndarray, limit: int) -> np.ndarray:
     return np.flatnonzero(since % limit == 0)
 
 
-def _key() -> list[Column]:
-    return [F.coalesce(F.col("doc_id"), F.lit(_LAST)).alias("rank"), F.xxhash64("text").alias("tie")]
+def _keyed(docs: DataFrame) -> DataFrame:
+    """``docs`` with the key of each row, ``rank`` and ``tie``.
+
+    The tie counts only among rows of one rank, and a window carries its row's key through two shuffles: where the
+    rank belongs to one row the tie is 0. A filter of the shared ranks decides, alike for all rows of a rank.
+    """
+    ranked = docs.withColumn("rank", F.coalesce(F.col("doc_id"), F.lit(_LAST)))
+    shared = stage(ranked.groupBy("rank").agg(F.count("*").alias("n")).where("n > 1").select("rank"), "substring-shared")
+    marked = with_filter(ranked, [F.col("rank")], key_filter(shared, ["rank"]), "shared")
+    return marked.withColumn("tie", F.when(F.col("shared"), F.xxhash64("text")).otherwise(F.lit(0).cast("long"))).drop("shared")
 
 
 def repeated_windows(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, bits: int = ANCHOR_BITS) -> DataFrame:
     """(rank, tie, starts): the windows of each document, by its key, that also start earlier."""
-    docs = docs.select(*_key(), "text")
+    docs = (docs if "tie" in docs.columns else _keyed(docs)).select("rank", "tie", "text")
     limit = window - gram + 1
 
     def anchors_of(batches):
@@ -127,9 +135,10 @@ def remove_repeats(
     """One row per document: doc_id, n_words, n_removed, removed (spans of word numbers, end exclusive) and
     ``kept``, the kept words joined by a space."""
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    docs = _keyed(docs)
     starts = stage(repeated_windows(docs, window, gram, bits), "substring-starts")
     key = ["rank", "tie"]
-    marked = with_filter(docs.select("*", *_key()), [F.col(c) for c in key], key_filter(starts, key), "maybe")
+    marked = with_filter(docs, [F.col(c) for c in key], key_filter(starts, key), "maybe")
     touched = marked.where("maybe").join(starts, key, "left")
     none = F.expr("cast(null as array<int>)")
     schema = T.StructType([
