@@ -9,7 +9,7 @@ padding. Packing needs no shuffle: a piece depends on its document alone.
 Tokens are made per white-space separated chunk. The tokenizer never joins characters across white
 space (control tokens spelt in a text hold none either, and become the tokens they spell), so a bounded dictionary from chunk to ids serves the frequent words and the library encodes only
 chunks it has not seen lately. Of these, words of letters alone need neither the tokenizer's normalizer nor its
-patterns: its model encodes them as one text. Texts are handled in slices of about a megabyte, each document whole.
+patterns: its model encodes them as one text. Texts are handled in slices of about a quarter of a megabyte, each document whole.
 
 Defined results: a null or empty text is the end token alone. Rows that repeat a ``doc_id`` are packed
 each. Other columns are ignored, whatever their names. An empty table gives no piece.
@@ -36,7 +36,7 @@ MAX_LEN = 4096
 END_ID = 2
 CACHED_WORDS = 500_000
 CACHED_CHARS = 40
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 18  # larger slices cost memory alone: every word of one is held as a text
 _NO_WHITE_SPACE = re.compile("[\x1c-\x1f]")  # str.split cuts there, the tokenizer does not
 _SIGNS = string.punctuation
 _LATIN_END = "\u0180"  # beyond, lower case may depend on neighbours
