@@ -9,7 +9,7 @@ from skyledger.streaming.ingest import watch
 
 
 def files_a_slice(spark: SparkSession) -> int:
-    """As many as tasks run at once, so that no task makes or reads a whole slice."""
+    """As many as tasks run at once, so that no task makes or reads a whole slice. Ask once: executors come and go."""
     return min(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
@@ -17,15 +17,15 @@ def _part_files(folders: Folders, folder: str) -> int:
     return sum(name.startswith("part-") for name in folders.names(folder))
 
 
-def write_slices(slices: list[DataFrame], folder: str) -> str:
-    """Each slice of messages (``value``) as ``files_a_slice`` files, by as many tasks.
+def write_slices(slices: list[DataFrame], folder: str, files: int) -> str:
+    """Each slice of messages (``value``) as so many files, by as many tasks.
 
     A file stream reads files by their times, so one slice after the other. Tasks without a row write no file;
     empty ones take their place, for ``replay`` tells slices apart by the number of files.
     """
     for number, messages in enumerate(slices, 1):
         spark = messages.sparkSession
-        files, folders = files_a_slice(spark), Folders(spark)
+        folders = Folders(spark)
         messages.select("value").coalesce(files).write.mode("append").parquet(folder)
         for _ in range(number * files - _part_files(folders, folder)):
             spark.createDataFrame([], "value binary").coalesce(1).write.mode("append").parquet(folder)
@@ -34,9 +34,9 @@ def write_slices(slices: list[DataFrame], folder: str) -> str:
     return folder
 
 
-def replay(spark: SparkSession, folder: str) -> DataFrame:
+def replay(spark: SparkSession, folder: str, files: int) -> DataFrame:
     """The messages of ``write_slices`` as a stream, a slice a micro-batch."""
-    return read_stream(spark, "parquet", folder, maxFilesPerTrigger=files_a_slice(spark))
+    return read_stream(spark, "parquet", folder, maxFilesPerTrigger=files)
 
 
 def run_to_end(rows: DataFrame, path: str, checkpoint: str) -> tuple[StreamingQuery, int]:

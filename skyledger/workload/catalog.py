@@ -152,8 +152,9 @@ class Telemetry:
             ))
             for n in range(SLICES)
         ]
-        folder = replay.write_slices(slices, shared_dir(self.spark, "slices"))
-        return replay.replay(prepare(self.spark.newSession()), folder)
+        files = replay.files_a_slice(self.spark)
+        folder = replay.write_slices(slices, shared_dir(self.spark, "slices"), files)
+        return replay.replay(prepare(self.spark.newSession()), folder, files)
 
     def sliced_rows(self, rows: Callable[[DataFrame], DataFrame]) -> tuple[DataFrame, int]:
         """What a stream over the slices wrote, and its late rows."""
