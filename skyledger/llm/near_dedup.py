@@ -19,7 +19,9 @@ compared. A class has ``COORDINATES`` MinHash values; each (coordinate, value) p
    hashes set and clear bits in turn, so the bits in which two bitmaps differ never outnumber the shingles
    of one set only. A pair that fails either is no row. Lists are joined by size class as well, a bitmap of
    two to four bits a shingle (``PARITY_WORDS`` longs at most) for each class a partner may have.
-   Only members outside a list's largest component are joined to members of other components.
+   First, in up to ``ROUNDS`` rounds, members meet two heads of each list only, and components that links
+   join become one; where most members are linked to many, few are left outside.
+   Only members outside a list's largest component are then joined to all members of other components.
 5. Every link is confirmed on the full shingle sets: 100 * intersection >= 85 * union.
 
 At a similarity of 0.85 two signatures agree in 27 of 32 coordinates on average; fewer than 16 agree with
@@ -47,6 +49,8 @@ MATCHES = 16
 WORDS = 3
 SET_BATCH = 1 << 17  # shingles in an Arrow batch of sets, but for the last set
 PARITY_WORDS = 64  # longs in the largest parity bitmap; beyond some 2,000 shingles it spares less, and loses nothing
+ROUNDS = 4  # of heads at most, and no further one after a round that joined less than a part in ROUND_SHARE to another
+ROUND_SHARE = 64
 _RNG = np.random.default_rng(20)
 _ODD = _RNG.integers(0, 1 << 63, COORDINATES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _ADD = _RNG.integers(0, 1 << 63, COORDINATES, dtype=np.uint64)
@@ -215,38 +219,95 @@ def shingle_postings(sets: DataFrame, numerator: int, denominator: int) -> DataF
     )
 
 
-def across(posted: DataFrame, members: DataFrame, numerator: int, denominator: int) -> DataFrame:
-    """Pairs of different parts that may be similar enough.
+def _size_bits(n: str) -> Column:
+    return F.length(F.bin(F.col(n))) - 1
 
-    From postings (token, id, n, at) and members (id, part, low, parities).
-    """
-    parts = members.select(F.col("id").alias("m_id"), "part")
-    posted = stage(posted.join(parts, F.col("id") == F.col("m_id")).drop("m_id"), "near-shingle-postings")
+
+def _possible(numerator: int, denominator: int, o_bits: Column | str = "o_bits") -> Column:
+    """Whether sizes and positions, then the parity bitmaps, leave room for enough common shingles."""
+    both = F.col("n") + F.col("o_n")
+    room = F.least(F.col("n") - F.col("at"), F.col("o_n") - F.col("o_at")) * (numerator + denominator) >= numerator * both
+    differ = F.aggregate(F.zip_with("bits", o_bits, lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda a, x: a + x)
+    return room & (differ * (numerator + denominator) <= (denominator - numerator) * both)
+
+
+def _mixed(posted: DataFrame) -> DataFrame:
+    """Postings (token, id, n, at, part) of the lists that hold several parts, with the ``largest`` of these."""
     mixed = stage(
         posted.groupBy("token", "part").agg(F.count("*").alias("size"))
         .groupBy("token").agg(F.count("*").alias("parts"), F.max(F.struct("size", "part"))["part"].alias("largest"))
         .where("parts > 1").select(F.col("token").alias("m_token"), "largest"),
         "near-mixed",
     )
-    held = stage(posted.join(mixed, F.col("token") == F.col("m_token")).drop("m_token"), "near-open")
+    return stage(posted.join(mixed, F.col("token") == F.col("m_token")).drop("m_token"), "near-open")
+
+
+def _ordered(joined: DataFrame) -> DataFrame:
+    return stage(joined.select(F.least("id", "o_id").alias("a"), F.greatest("id", "o_id").alias("b")).distinct(), "near-pairs")
+
+
+def to_heads(held: DataFrame, members: DataFrame, number: int, numerator: int, denominator: int) -> DataFrame:
+    """Pairs that may be similar enough, of each list's members and two heads of it: one in its largest part, one outside.
+
+    The heads come first in an order of the list and the round, so lists of the same members have different heads.
+    """
+    row = F.struct(F.xxhash64("token", "id", F.lit(number)).alias("rank"), "id", "n", "at", "part")
     parities = members.select(F.col("id").alias("m_id"), "low", "parities")
-    held = held.join(parities, F.col("id") == F.col("m_id")).drop("m_id")
-    size_class = F.length(F.bin(F.col("n"))) - 1
+    heads = (
+        held.groupBy("token", (F.col("part") == F.col("largest")).alias("main")).agg(F.min(row).alias("h"))
+        .select(F.col("token").alias("o_token"), *[F.col(f"h.{c}").alias(f"o_{c}") for c in ("id", "n", "at", "part")])
+        .join(parities, F.col("o_id") == F.col("m_id")).drop("m_id").withColumnsRenamed({"low": "o_low", "parities": "o_parities"})
+    )
+    bits = held.join(parities, F.col("id") == F.col("m_id")).select(
+        "token", "id", "n", "at", "part", F.get("parities", _size_bits("n") - F.col("low")).alias("bits")
+    )
+    # The head's bitmap for the other's size class; it has none where their sizes differ too much.
+    o_bits = F.get("o_parities", _size_bits("n") - F.col("o_low"))
+    return _ordered(bits.join(
+        heads, (F.col("token") == F.col("o_token")) & (F.col("part") != F.col("o_part")) & _possible(numerator, denominator, o_bits)
+    ))
+
+
+def across(held: DataFrame, members: DataFrame, numerator: int, denominator: int) -> DataFrame:
+    """Pairs of different parts that may be similar enough.
+
+    From postings (token, id, n, at, part, largest) of mixed lists and members (id, low, parities).
+    """
+    held = held.join(members.select(F.col("id").alias("m_id"), "low", "parities"), F.col("id") == F.col("m_id")).drop("m_id")
+    size_class = _size_bits("n")
     any_ = held.withColumns({"class": size_class, "bits": F.get("parities", size_class - F.col("low"))}).drop("low", "parities")
     other = (
         held.where(F.col("part") != F.col("largest")).select("*", F.posexplode("parities").alias("step", "o_bits"))
         .select(*[F.col(c).alias(f"o_{c}") for c in ("token", "id", "n", "at", "part")], (F.col("low") + F.col("step")).alias("o_class"), "o_bits")
     )
-    both = F.col("n") + F.col("o_n")
-    possible = F.least(F.col("n") - F.col("at"), F.col("o_n") - F.col("o_at")) * (numerator + denominator) >= numerator * both
-    differ = F.aggregate(F.zip_with("bits", "o_bits", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda a, x: a + x)
-    joined = any_.join(
+    return _ordered(any_.join(
         other,
         (F.col("token") == F.col("o_token")) & (F.col("class") == F.col("o_class")) & (F.col("part") != F.col("o_part"))
-        & ((F.col("part") == F.col("largest")) | (F.col("id") < F.col("o_id"))) & possible
-        & (differ * (numerator + denominator) <= (denominator - numerator) * both),
-    )
-    return stage(joined.select(F.least("id", "o_id").alias("a"), F.greatest("id", "o_id").alias("b")).distinct(), "near-pairs")
+        & ((F.col("part") == F.col("largest")) | (F.col("id") < F.col("o_id"))) & _possible(numerator, denominator),
+    ))
+
+
+def links_across(sets: DataFrame, members: DataFrame, numerator: int, denominator: int) -> DataFrame:
+    """Links that connect the parts of ``members`` (id, part, low, parities) as all links between them would."""
+    parts = members.select("id", "part")
+    posted = shingle_postings(sets, numerator, denominator)
+    held = _mixed(stage(posted.join(parts.withColumnRenamed("id", "m_id"), F.col("id") == F.col("m_id")).drop("m_id"), "near-shingle-postings"))
+    links = None
+    for number in range(ROUNDS):
+        found = confirmed(to_heads(held, members, number, numerator, denominator), sets, numerator, denominator)
+        links = found if links is None else links.union(found)
+        side = lambda c: parts.select(F.col("id").alias(f"{c}_id"), F.col("part").alias(f"{c}_part"))
+        joined = found.join(side("a"), F.col("a") == F.col("a_id")).join(side("b"), F.col("b") == F.col("b_id"))
+        place = stage(components(joined.select(F.col("a_part").alias("a"), F.col("b_part").alias("b"))), "near-merged")
+        moved, were = place.where("node <> component").count(), held.agg(F.count_distinct("part")).first()[0]
+        if not moved:
+            break
+        merged = lambda df: df.join(place, F.col("part") == F.col("node"), "left").withColumn("part", F.coalesce("component", "part")).drop("node", "component")  # noqa: E731, B023
+        parts = stage(merged(parts), "near-parts")
+        held = _mixed(merged(held).drop("largest"))
+        if moved * ROUND_SHARE < were:
+            break
+    return links.union(confirmed(across(held, members, numerator, denominator), sets, numerator, denominator))
 
 
 def _held(batch, rows: list[int], sets: list[np.ndarray], numerator: int, denominator: int) -> pa.RecordBatch:
@@ -309,8 +370,7 @@ def near_groups(
     )
     sets = full_sets(docs, classes, open_.select("id"), words, numerator, denominator)
     members = stage(sets.select("id", "low", "parities").join(open_, "id").select("id", "part", "low", "parities"), "near-members")
-    pairs = across(shingle_postings(sets, numerator, denominator), members, numerator, denominator)
-    links = links.union(confirmed(pairs, sets, numerator, denominator))
+    links = links.union(links_across(sets, members, numerator, denominator))
 
     found = stage(components(links), "near-components")
     named = stage(

@@ -83,3 +83,19 @@ def test_ids_of_any_type_that_sorts(spark):
     found = near_dedup.near_groups(docs.withColumn("key", tables.row_key()), 80, 100, 5, id_col="key")
     parts = found.groupBy("component_id.id", "component_id.no_id").agg(F.count("*").alias("n"), F.sum(F.col("kept").cast("int")).alias("kept"))
     assert sorted(map(tuple, parts.collect())) == [(1, False, 3, 1), (2, False, 1, 1)]
+
+
+def test_a_group_that_no_one_text_links_costs_few_pairs(spark, monkeypatch):
+    """Copies with one or two words of their own: many pairs are links, and no text is linked to all."""
+    rng, base, n = np.random.default_rng(5), [f"v{x}" for x in np.random.default_rng(1).integers(0, 5000, 60)], 600
+    rows = [(k, edited(base, rng, int(rng.integers(1, 3)), 10**9)) for k in range(n)]
+    made, across = [], near_dedup.across
+
+    def counted(*args):
+        pairs = across(*args)
+        made.append(pairs.count())
+        return pairs
+
+    monkeypatch.setattr(near_dedup, "across", counted)
+    assert got(spark, rows, 85, 3) == expect_rows(rows, 85, 3)
+    assert made[0] <= n
