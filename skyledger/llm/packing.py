@@ -21,7 +21,8 @@ import re
 import string
 import struct
 from collections.abc import Iterator
-from itertools import chain
+from itertools import chain, compress, repeat
+from operator import is_
 
 import numpy as np
 import pyarrow as pa
@@ -44,7 +45,7 @@ _DOTTED_I = "\u0130"
 _PACK = [struct.Struct(f"<{n}I").pack for n in range(32)]
 _ASCII_SPACE = re.compile(r"[\x20\t\n\r\f\v]+")
 _WORD_END = "</w>"
-_JOINED = 4000  # words in one text to the model
+_JOINED = 500  # words in one text to the model
 # With these a lower-case word of Latin letters is one piece, encoded as its bytes.
 _NORMALIZER = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]}
 _PRE_TOKENIZER = {"type": "Sequence", "pretokenizers": [
@@ -60,10 +61,12 @@ def _byte_signs() -> dict[int, str]:
 
 
 _BYTE_SIGNS = _byte_signs()
+_BYTE_TABLE = "".join(" " if b == 0x20 else _BYTE_SIGNS.get(b, chr(b)) for b in range(0x100))
 
 
-def _byte_level(word: str) -> str:
-    return word if word.isascii() else word.encode().decode("latin-1").translate(_BYTE_SIGNS)
+def _byte_level(words: str) -> str:
+    """Words as the ByteLevel step writes them; the spaces between them stay."""
+    return words if words.isascii() else words.encode().decode("latin-1").translate(_BYTE_TABLE)
 
 
 class LetterWords:
@@ -73,7 +76,7 @@ class LetterWords:
         from tokenizers import Tokenizer, pre_tokenizers
 
         self.model = Tokenizer(tokenizer.model)
-        self.model.pre_tokenizer = pre_tokenizers.Split(" ", "removed")
+        self.model.pre_tokenizer = pre_tokenizers.CharDelimiterSplit(" ")
         vocabulary = self.model.get_vocab()
         self.last = np.zeros(max(vocabulary.values()) + 1, bool)
         for token, number in vocabulary.items():
@@ -94,12 +97,12 @@ class LetterWords:
     def encode(self, words: list[str]) -> Iterator[bytes]:
         for k in range(0, len(words), _JOINED):
             some = words[k : k + _JOINED]
-            ids = np.array(self.model.encode_batch_fast([" ".join(map(_byte_level, some))], add_special_tokens=False)[0].ids, "<u4")
+            ids = np.array(self.model.encode_batch_fast([_byte_level(" ".join(some))], add_special_tokens=False)[0].ids, "<u4")
             cuts = (4 * (np.flatnonzero(self.last[ids]) + 1)).tolist()
             if len(cuts) != len(some):
                 raise ValueError("the model's words can't be told apart")
             raw = ids.tobytes()
-            yield from map(raw.__getitem__, map(slice, [0, *cuts[:-1]], cuts))
+            yield from [raw[a:b] for a, b in zip([0, *cuts], cuts)]  # one cut more on the left
 
 
 def tokenizer_path() -> str:
@@ -110,10 +113,12 @@ def tokenizer_path() -> str:
 
 def _parts(chunk: str) -> tuple[str, str, bool]:
     """Letters (case folded where that is safe, and whether it was) and the ASCII signs after them, or the whole chunk."""
-    stem = chunk.rstrip(_SIGNS)
+    stem = chunk if chunk.isalpha() else chunk.rstrip(_SIGNS)
+    if stem.isascii():  # nearly all chunks: as below, in fewer steps
+        return (stem.lower(), chunk[len(stem) :], True) if stem.isalpha() else (chunk, "", False)
     if not stem.isalpha() or _DOTTED_I in stem:  # its lower case ends in a mark, which is no letter
         return chunk, "", False
-    folded = stem.isascii() or max(stem) < _LATIN_END
+    folded = max(stem) < _LATIN_END
     return stem.lower() if folded else stem, chunk[len(stem) :], folded
 
 
@@ -134,7 +139,8 @@ class WordTokens:
         letters and the signs are encoded once for all chunks that share them."""
         parts = [_parts(c) for c in chunks]
         letters = {stem for stem, _, folded in parts if folded}
-        others = {p for stem, tail, folded in parts for p in ((tail,) if folded else (stem, tail))}
+        others = {tail for _, tail, _ in parts}
+        others.update(stem for stem, _, folded in parts if not folded)
         if not self.letters:
             letters, others = set(), letters | others
         known = self.known
@@ -153,13 +159,20 @@ class WordTokens:
         if len(self.known) > CACHED_WORDS:
             self.older, self.known = self.known, {}
         known, older = self.known, self.older
-        missing = set().union(*split).difference(known)
+        flat = list(chain.from_iterable(split))
+        found = list(map(known.get, flat))  # one look-up a word; most are known
+        gaps = list(compress(range(len(flat)), map(is_, found, repeat(None))))
+        missing = {flat[k] for k in gaps}
         again = {w for w in missing if w in older}  # intersection() would walk through all older words
         known.update((w, older[w]) for w in again)
         fresh = list(missing - again)
         known.update(zip(fresh, self.encode(fresh), strict=True))
+        for k in gaps:
+            found[k] = known[flat[k]]
+        at = 0
         for words in split:
-            yield b"".join(map(known.__getitem__, words))
+            yield b"".join(found[at : at + len(words)])
+            at += len(words)
         for w in fresh:
             if len(w) > CACHED_CHARS:
                 del known[w]

@@ -49,3 +49,13 @@ def test_other_tokenizers_encode_every_word_themselves(path):
     assert packing.LetterWords.serves(tokens.tokenizer) and not packing.LetterWords.serves(other)
     tokens.tokenizer, tokens.letters = other, None
     assert list(tokens.texts(["Seen here."])) == [library(tokens, "Seen here.")]
+
+
+def test_chunks_are_cut_into_letters_and_signs():
+    cut = {
+        "Word": ("word", "", True), "WORD.)": ("word", ".)", True), "x1": ("x1", "", False), "a-b,": ("a-b,", "", False), "...": ("...", "", False),
+        "": ("", "", False), "Äpfel!": ("äpfel", "!", True), "İs.": ("İs.", "", False), "Ωmega,": ("Ωmega", ",", False),
+        "é": ("é", "", True), "é²": ("é²", "", False), "ab„": ("ab„", "", False), "7": ("7", "", False),
+    }
+    assert {chunk: packing._parts(chunk) for chunk in cut} == cut
+    assert packing._byte_level("\u00e9 a") == "\u00c3\u00a9 a"  # many words at once
