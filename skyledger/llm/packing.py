@@ -6,10 +6,10 @@ own, of a length that is a power of two: no sequence crosses documents and none
 is that length; ``write_buckets`` stores pieces of equal length together, ready for batches without
 padding. Packing needs no shuffle: a piece depends on its document alone.
 
-Tokens are made per white-space separated chunk. The tokenizer never joins characters across white
-space (control tokens spelt in a text hold none either, and become the tokens they spell), so a bounded dictionary from chunk to ids serves the frequent words and the library encodes only
-chunks it has not seen lately. Of these, words of letters alone need neither the tokenizer's normalizer nor its
-patterns: its model encodes them as one text. Texts are handled in slices of about a quarter of a megabyte, each document whole.
+Tokens are made per chunk between ASCII white space. The tokenizer never joins characters across white
+space (control tokens spelt in a text hold none either, and become the tokens they spell), so each different chunk of a slice is looked up once, its
+letters and the signs after them apart, in a bounded table of ids, and the library encodes only what it has not seen lately. Of these, words of letters alone need neither the tokenizer's normalizer nor its
+patterns: its model encodes them as one text. Texts are handled in slices of about four megabytes, each document whole.
 
 Defined results: a null or empty text is the end token alone. Rows that repeat a ``doc_id`` are packed
 each. Other columns are ignored, whatever their names. An empty table gives no piece.
@@ -17,15 +17,13 @@ each. Other columns are ignored, whatever their names. An empty table gives no p
 
 import json
 import os
-import re
 import string
 import struct
 from collections.abc import Iterator
-from itertools import chain, compress, repeat
-from operator import is_
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -35,15 +33,15 @@ from skyledger.llm.wordhash import text_slices
 
 MAX_LEN = 4096
 END_ID = 2
-CACHED_WORDS = 500_000
+CACHED_WORDS = 500_000  # some 40 bytes each in Arrow arrays, which a Python worker keeps after its last task
 CACHED_CHARS = 40
-SLICE_BYTES = 1 << 18  # larger slices cost memory alone: every word of one is held as a text
-_NO_WHITE_SPACE = re.compile("[\x1c-\x1f]")  # str.split cuts there, the tokenizer does not
+SLICE_BYTES = 1 << 22  # each different word of a slice is looked up once
+BATCH_IDS = 1 << 20  # in an Arrow batch of pieces, one piece at least
 _SIGNS = string.punctuation
 _LATIN_END = "\u0180"  # beyond, lower case may depend on neighbours
 _DOTTED_I = "\u0130"
-_PACK = [struct.Struct(f"<{n}I").pack for n in range(32)]
-_ASCII_SPACE = re.compile(r"[\x20\t\n\r\f\v]+")
+_LATIN = "".join(c for c in map(chr, range(ord(_LATIN_END))) if c != _DOTTED_I)
+_LATIN_LETTERS = "".join(filter(str.isalpha, _LATIN))
 _WORD_END = "</w>"
 _JOINED = 500  # words in one text to the model
 # With these a lower-case word of Latin letters is one piece, encoded as its bytes.
@@ -94,15 +92,24 @@ class LetterWords:
             and all(sign in model["vocab"] and sign + _WORD_END in model["vocab"] for sign in map(chr, {*range(0x100), *map(ord, _BYTE_SIGNS.values())} - set(_BYTE_SIGNS)))
         )
 
-    def encode(self, words: list[str]) -> Iterator[bytes]:
+    def encode(self, words: list[str]) -> pa.Array:
+        lengths, raw = [], []
         for k in range(0, len(words), _JOINED):
             some = words[k : k + _JOINED]
             ids = np.array(self.model.encode_batch_fast([_byte_level(" ".join(some))], add_special_tokens=False)[0].ids, "<u4")
-            cuts = (4 * (np.flatnonzero(self.last[ids]) + 1)).tolist()
-            if len(cuts) != len(some):
+            ends = np.flatnonzero(self.last[ids])
+            if len(ends) != len(some):
                 raise ValueError("the model's words can't be told apart")
-            raw = ids.tobytes()
-            yield from [raw[a:b] for a, b in zip([0, *cuts], cuts)]  # one cut more on the left
+            lengths.append(np.diff(ends, prepend=-1))
+            raw.append(ids)
+        return _binary(lengths, raw)
+
+
+def _binary(lengths: list[np.ndarray], ids: list[np.ndarray]) -> pa.Array:
+    """Consecutive ids as one binary value for each length."""
+    places = np.cumsum(np.concatenate([[0], *lengths]) * 4, dtype=np.int64)
+    data = np.concatenate(ids).astype("<u4") if ids else np.zeros(0, "<u4")
+    return pa.Array.from_buffers(pa.large_binary(), len(places) - 1, [None, pa.py_buffer(places), pa.py_buffer(data)])
 
 
 def tokenizer_path() -> str:
@@ -122,8 +129,27 @@ def _parts(chunk: str) -> tuple[str, str, bool]:
     return stem.lower() if folded else stem, chunk[len(stem) :], folded
 
 
+def _split(words: pa.Array) -> tuple[pa.Array, pa.Array, np.ndarray]:
+    """``_parts`` of many words: Latin ones by Arrow, the others one by one."""
+    stems = pc.utf8_rtrim(words, characters=_SIGNS)
+    latin = pc.equal(pc.utf8_ltrim(words, characters=_LATIN), "")
+    folded = pc.and_(latin, pc.utf8_is_alpha(stems))
+    tails = pc.if_else(folded, pc.utf8_ltrim(words, characters=_LATIN_LETTERS), "")
+    stems = pc.if_else(folded, pc.utf8_lower(stems), words)
+    cut = folded.to_numpy(zero_copy_only=False).copy()
+    others = ~latin.to_numpy(zero_copy_only=False)
+    if others.any():
+        mask = pa.array(others)
+        some = [_parts(w) for w in words.filter(mask).to_numpy(zero_copy_only=False)]
+        stem, tail, fold = zip(*some)
+        stems = pc.replace_with_mask(stems, mask, pa.array(stem, stems.type))
+        tails = pc.replace_with_mask(tails, mask, pa.array(tail, tails.type))
+        cut[others] = fold
+    return stems, tails, cut
+
+
 class WordTokens:
-    """Little-endian unsigned 32-bit ids of texts, by way of two bounded generations of known words."""
+    """Little-endian unsigned 32-bit ids of texts, by way of a bounded table of the parts of words met lately."""
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -131,59 +157,86 @@ class WordTokens:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.letters = LetterWords(self.tokenizer) if LetterWords.serves(self.tokenizer) else None
-        self.known: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
-
-    def encode(self, chunks: list[str]) -> list[bytes]:
-        """Ids of chunks. Letters followed by ASCII signs are two words to the tokenizer: the case-folded
-        letters and the signs are encoded once for all chunks that share them."""
-        parts = [_parts(c) for c in chunks]
-        letters = {stem for stem, _, folded in parts if folded}
-        others = {tail for _, tail, _ in parts}
-        others.update(stem for stem, _, folded in parts if not folded)
+        self.known, self.ids = pa.array([], pa.large_string()), pa.array([], pa.large_binary())
+        self.used, self.now = np.zeros(0, np.int64), 0
+
+    def encode(self, parts: pa.Array, folded: np.ndarray) -> pa.Array:
+        """Ids of different parts; ``folded`` tells which ones are lower-case Latin letters."""
         if not self.letters:
-            letters, others = set(), letters | others
-        known = self.known
-        wanted = {p: known[p] for p in chain(letters, others) if p in known}
-        words = [p for p in letters if p not in wanted]
-        fresh = [p for p in others if p not in wanted]
-        if words:
-            wanted.update(zip(words, self.letters.encode(words), strict=True))
-        for p, e in zip(fresh, self.tokenizer.encode_batch_fast(fresh, add_special_tokens=False), strict=True):
-            ids = e.ids
-            wanted[p] = _PACK[len(ids)](*ids) if len(ids) < 32 else struct.pack(f"<{len(ids)}I", *ids)
-        return [wanted[stem] + wanted[tail] if tail else wanted[stem] for stem, tail, _ in parts]
+            folded = np.zeros(len(parts), bool)
+        others = self.tokenizer.encode_batch_fast(parts.filter(pa.array(~folded)).to_pylist(), add_special_tokens=False)
+        ids = [np.array(e.ids, "<u4") for e in others]
+        found = _binary([np.array([len(i) for i in ids], np.int64)], ids)
+        if not folded.any():
+            return found
+        letters = self.letters.encode(parts.filter(pa.array(folded)).to_numpy(zero_copy_only=False).tolist())
+        place = np.where(folded, np.cumsum(folded) - 1, len(letters) + np.cumsum(~folded) - 1)
+        return pa.concat_arrays([letters, found]).take(pa.array(place))
+
+    def words(self, words: pa.Array) -> pa.Array:
+        """Ids of different words. Letters followed by ASCII signs are two words to the tokenizer: the case-folded
+        letters and the signs are encoded once for all words that share them."""
+        stems, tails, folded = _split(words)
+        numbered = pa.concat_arrays([stems, tails]).dictionary_encode()
+        parts, code = numbered.dictionary, numbered.indices.to_numpy()
+        letters = np.zeros(len(parts), bool)
+        letters[code[: len(words)][folded]] = True
+        at = pc.index_in(parts, value_set=self.known)
+        mask = at.is_null()
+        missing = mask.to_numpy(zero_copy_only=False)
+        fresh = parts.filter(mask)
+        ids = pa.concat_arrays([self.ids, self.encode(fresh, letters[missing])])
+        place = at.fill_null(0).to_numpy().astype(np.int64)
+        self.used[place[~missing]] = self.now
+        place[missing] = len(self.known) + np.arange(len(fresh))
+        found = ids.take(pa.array(place))
+        self._keep(pa.concat_arrays([self.known, fresh]), ids, len(fresh))
+        return pc.binary_join_element_wise(found.take(pa.array(code[: len(words)])), found.take(pa.array(code[len(words) :])), pa.scalar(b"", found.type))
+
+    def _keep(self, parts: pa.Array, ids: pa.Array, fresh: int) -> None:
+        """The table for the next words: without long parts, and without the half used longest ago where it got too large."""
+        used = np.append(self.used, np.full(fresh, self.now))
+        kept = np.ones(len(parts), bool)
+        kept[len(parts) - fresh :] = pc.less_equal(pc.utf8_length(parts[len(parts) - fresh :]), CACHED_CHARS).to_numpy(zero_copy_only=False)
+        if kept.sum() > CACHED_WORDS:
+            kept[np.argsort(np.where(kept, used, -1), kind="stable")[: len(kept) - CACHED_WORDS // 2]] = False
+        if not kept.all():
+            parts, ids, used = parts.filter(pa.array(kept)), ids.filter(pa.array(kept)), used[kept]
+        self.known, self.ids, self.used = parts, ids, used
+        self.now += 1
+
+    def joined(self, texts: pa.Array, end: bytes = b"") -> tuple[np.ndarray, pa.Buffer]:
+        """Where each text's ids begin (one more at the end), in bytes, and the ids of all texts, ``end`` after each.
+
+        Arrow cuts the texts and numbers their different words; only parts that are not known become Python objects.
+        """
+        split = pc.ascii_split_whitespace(texts.cast(pa.large_string()))
+        numbered = split.flatten().dictionary_encode()
+        ids = self.words(numbered.dictionary)
+        bounds = np.concatenate([[0], np.cumsum(split.value_lengths().to_numpy())])
+        order = np.insert(numbered.indices.to_numpy(), bounds[1:], len(ids))
+        joined = pa.concat_arrays([ids, pa.array([end], ids.type)]).take(pa.array(order))
+        _, places, data = joined.buffers()
+        return np.frombuffer(places, np.int64)[bounds + np.arange(len(bounds))], data or pa.py_buffer(b"")
 
     def texts(self, texts: list[str]) -> Iterator[bytes]:
-        split = [[w for w in _ASCII_SPACE.split(t) if w] if _NO_WHITE_SPACE.search(t) else t.split() for t in texts]
-        if len(self.known) > CACHED_WORDS:
-            self.older, self.known = self.known, {}
-        known, older = self.known, self.older
-        flat = list(chain.from_iterable(split))
-        found = list(map(known.get, flat))  # one look-up a word; most are known
-        gaps = list(compress(range(len(flat)), map(is_, found, repeat(None))))
-        missing = {flat[k] for k in gaps}
-        again = {w for w in missing if w in older}  # intersection() would walk through all older words
-        known.update((w, older[w]) for w in again)
-        fresh = list(missing - again)
-        known.update(zip(fresh, self.encode(fresh), strict=True))
-        for k in gaps:
-            found[k] = known[flat[k]]
-        at = 0
-        for words in split:
-            yield b"".join(found[at : at + len(words)])
-            at += len(words)
-        for w in fresh:
-            if len(w) > CACHED_CHARS:
-                del known[w]
+        bounds, data = self.joined(pa.array(texts, pa.large_string()))
+        return (data[a:b].to_pybytes() for a, b in zip(bounds.tolist(), bounds[1:].tolist()))
 
 
 _TOKENS: dict[str, WordTokens] = {}
 
 
+def pieces_of(tokens: np.ndarray, max_len: int) -> tuple[np.ndarray, np.ndarray]:
+    """Document and length of each piece of documents with so many tokens, in order."""
+    bits = np.arange(max_len.bit_length() - 1)[::-1]
+    counts = np.column_stack([tokens // max_len, (tokens % max_len)[:, None] >> bits & 1])
+    sizes = np.concatenate([[max_len], 1 << bits])
+    return np.repeat(np.arange(len(tokens)), counts.sum(axis=1)), np.repeat(np.tile(sizes, len(tokens)), counts.ravel())
+
+
 def piece_lengths(tokens: int, max_len: int) -> list[int]:
-    rest = tokens % max_len
-    return [max_len] * (tokens // max_len) + [1 << b for b in reversed(range(max_len.bit_length())) if rest >> b & 1]
+    return pieces_of(np.array([tokens]), max_len)[1].tolist()
 
 
 def pack(
@@ -214,21 +267,23 @@ def pack(
         for batch in batches:
             texts = batch.column(1)
             for first, last, _, _ in text_slices(texts, SLICE_BYTES):
-                at, start, length, total, ids = [], [], [], [], []
-                for row, got in enumerate(tokens.texts(texts[first:last].to_pylist()), first):
-                    got += end
-                    n, place = len(got) // 4, 0
-                    for size in piece_lengths(n, max_len):
-                        at.append(row)
-                        start.append(place)
-                        length.append(size)
-                        total.append(n)
-                        ids.append(got[4 * place : 4 * (place + size)])
-                        place += size
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(pa.array(at)), pa.array(start), pa.array(length), pa.array(total), pa.array(ids, pa.binary())],
-                    names=["doc_id", "start", "length", "doc_tokens", "ids"],
-                )
+                bounds, ids = tokens.joined(texts[first:last], end)
+                total = np.diff(bounds) // 4
+                row, length = pieces_of(total, max_len)
+                ends = np.cumsum(length)
+                starts = ends - length
+                k = 0
+                while k < len(row):
+                    stop = max(k + 1, int(np.searchsorted(ends, starts[k] + BATCH_IDS, "right")))
+                    own, zero = row[k:stop], starts[k]
+                    places = (4 * (np.append(starts[k:stop], ends[stop - 1]) - zero)).astype(np.int32)
+                    binary = pa.Array.from_buffers(pa.binary(), stop - k, [None, pa.py_buffer(places), ids.slice(4 * zero, places[-1])])
+                    yield pa.RecordBatch.from_arrays(
+                        [batch.column(0).take(pa.array(own + first)), *map(pa.array, (starts[k:stop] - bounds[own] // 4, length[k:stop], total[own])), binary],
+                        names=["doc_id", "start", "length", "doc_tokens", "ids"],
+                    )
+                    k = stop
+            pa.default_memory_pool().release_unused()  # workers outlive their tasks, and the pool keeps what it once had
 
     return map_arrow(rows, cut, schema).withColumns({
         "bucket": F.col("length"), "sequence_id": F.monotonically_increasing_id(), "offset": F.lit(0).cast("long"),

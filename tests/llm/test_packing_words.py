@@ -59,3 +59,37 @@ def test_chunks_are_cut_into_letters_and_signs():
     }
     assert {chunk: packing._parts(chunk) for chunk in cut} == cut
     assert packing._byte_level("\u00e9 a") == "\u00c3\u00a9 a"  # many words at once
+
+
+def test_latin_letters_by_arrow_and_by_python():
+    """Lower case and letters of every sign that Arrow cuts words at are those of ``_parts``, and signs beyond go there."""
+    import pyarrow as pa
+
+    words = [w for c in map(chr, range(0x250)) if not c.isspace() for w in (c, f"a{c}", f"{c}b.", f"N{c},##", f".{c}", f"a.{c}!")]
+    words += ["", "İs.", "Ωmega,", "слово.", "a" + "́" + ",", "x\x1cy.", "ab\x85c"]
+    stems, tails, folded = packing._split(pa.array(words, pa.large_string()))
+    assert list(zip(stems.to_pylist(), tails.to_pylist(), folded.tolist())) == [packing._parts(w) for w in words]
+
+
+def test_table_of_words_stays_small(path, monkeypatch):
+    """Once it is full, words used last stay; ids are the same, and no word is a Python object for longer than its slice."""
+    monkeypatch.setattr(packing, "CACHED_WORDS", 100)
+    tokens = packing.WordTokens(path)
+    for n in range(12):
+        texts = [" ".join(f"Every w{n}x{k}, twice{chr(97 + k % 26)}." for k in range(30)), "", f" every \t{'long' * 20}{n}"]
+        assert list(tokens.texts(texts)) == [library(tokens, t) for t in texts]
+        assert len(tokens.known) == len(tokens.ids) == len(tokens.used) <= 100
+    assert "every" in tokens.known.to_pylist() and max(map(len, tokens.known.to_pylist())) <= packing.CACHED_CHARS
+    assert tokens.known.nbytes + tokens.ids.nbytes < 10_000
+
+
+def test_pieces_of_many_documents(path):
+    """Bounds and pieces of documents at once, empty ones and white space beyond ASCII among them."""
+    tokens = packing.WordTokens(path)
+    texts = ["word, " * (n * 37 % 300) for n in range(40)] + ["", " a\xa0b\u2003C.\x85\x1cd\u3000e ", "\t"]
+    bounds, data = tokens.joined(packing.pa.array(texts), b"\2\0\0\0")
+    assert data.to_pybytes() == b"".join(library(tokens, t) + b"\2\0\0\0" for t in texts) and bounds[-1] == len(data)
+    lengths = packing.np.diff(bounds) // 4
+    row, length = packing.pieces_of(lengths, 64)
+    assert [length[row == k].tolist() for k in range(len(texts))] == [packing.piece_lengths(int(n), 64) for n in lengths]
+    assert packing.piece_lengths(64 * 2 + 37, 64) == [64, 64, 32, 4, 1]
