@@ -8,7 +8,7 @@ two, the most votes win, and the coupled probability decides between equals (the
 family. Features see letters only; language, source and id are never inputs.
 
 Samples are bounded: ``PER_LANGUAGE`` documents a language, so a task for two languages holds twice as many
-vectors of ``4 * DIMS`` bytes; the families' task gets ``FAMILY_ROWS`` in all, the same number of each language
+vectors of ``4 * DIMS`` bytes (they are sent without their zeros); the families' task gets ``FAMILY_ROWS`` in all, the same number of each language
 (one at least).
 
 The score is the probability of the family, from its margins by a softmax, times that of the language within
@@ -80,9 +80,13 @@ def _matrix(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 def fit_svm(x: np.ndarray, y: np.ndarray, penalty: float = 1e-4, steps: int = 250) -> tuple[np.ndarray, float]:
     """Weights and bias of a linear SVM with squared hinge loss, classes weighted alike; accelerated gradient."""
+    return _fit(np.hstack([x, np.ones((len(x), 1), np.float32)]), y, penalty, steps)
+
+
+def _fit(x: np.ndarray, y: np.ndarray, penalty: float = 1e-4, steps: int = 250) -> tuple[np.ndarray, float]:
+    """``fit_svm`` of vectors that end in a one."""
     sign = np.where(y, 1.0, -1.0).astype(np.float32)
     share = np.where(y, 0.5 / max(1, y.sum()), 0.5 / max(1, (~y).sum())).astype(np.float32)
-    x = np.hstack([x, np.ones((len(x), 1), np.float32)])
     step, w = 1 / (4.0 + penalty), np.zeros(x.shape[1], np.float32)
     ahead, t = w.copy(), 1.0
     for _ in range(steps):
@@ -93,6 +97,22 @@ def fit_svm(x: np.ndarray, y: np.ndarray, penalty: float = 1e-4, steps: int = 25
     return w[:-1], float(w[-1])
 
 
+def _packed(vector: np.ndarray) -> bytes:
+    """Which values of a vector are not zero, a bit each, and these values."""
+    there = vector != 0
+    return np.packbits(there).tobytes() + vector[there].astype(np.float32).tobytes()
+
+
+def _with_ones(packed) -> np.ndarray:
+    """A row for each packed vector, with a one at its end; no other copy of all vectors is made."""
+    x = np.zeros((len(packed), DIMS + 1), np.float32)
+    x[:, -1] = 1
+    for row, data in zip(x, packed):
+        there = np.unpackbits(np.frombuffer(data, np.uint8, DIMS // 8)).view(bool)
+        row[:-1][there] = np.frombuffer(data, np.float32, offset=DIMS // 8)
+    return x
+
+
 def train(sample: DataFrame, family_rows: int = FAMILY_ROWS) -> dict[str, tuple[list[str], np.ndarray, np.ndarray]]:
     """Models by name (``families`` and one per family): classes, weight matrix and biases.
 
@@ -113,7 +133,7 @@ def train(sample: DataFrame, family_rows: int = FAMILY_ROWS) -> dict[str, tuple[
             for first, matrix in features(batch.column(2)):
                 rows = []
                 for (language, rank), vector in zip(named[first : first + len(matrix)], matrix):
-                    own, data = family(language), vector.astype(np.float32).tobytes()
+                    own, data = family(language), _packed(vector)
                     if rank <= shared:
                         rows.append(("families", "", language, rank, data))
                     for other in members[own]:
@@ -124,11 +144,11 @@ def train(sample: DataFrame, family_rows: int = FAMILY_ROWS) -> dict[str, tuple[
 
     def fit(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values(["cls", "rank"])
-        x = np.frombuffer(b"".join(rows["vector"]), np.float32).reshape(-1, DIMS)
+        x = _with_ones(rows["vector"])
         name, pair = rows["model"].iloc[0], rows["pair"].iloc[0]
         classes = rows["cls"] if pair else rows["cls"].map(family)
         names = [min(classes)] if pair else sorted(set(classes))
-        fitted = [fit_svm(x, (classes == c).to_numpy()) for c in names]
+        fitted = [_fit(x, (classes == c).to_numpy()) for c in names]
         return pd.DataFrame({
             "model": name, "column": [pair or c for c in names],
             "weights": [w.astype(np.float32).tobytes() for w, _ in fitted], "bias": [b for _, b in fitted],

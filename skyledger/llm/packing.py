@@ -283,7 +283,6 @@ def pack(
                         names=["doc_id", "start", "length", "doc_tokens", "ids"],
                     )
                     k = stop
-            pa.default_memory_pool().release_unused()  # workers outlive their tasks, and the pool keeps what it once had
 
     return map_arrow(rows, cut, schema).withColumns({
         "bucket": F.col("length"), "sequence_id": F.monotonically_increasing_id(), "offset": F.lit(0).cast("long"),

@@ -7,6 +7,7 @@ checks the rows that pass against the exact keys.
 
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,9 +30,20 @@ def stage(df: DataFrame, purpose: str) -> DataFrame:
 
 
 def map_arrow(rows: DataFrame, task, schema) -> DataFrame:
-    """``rows.mapInArrow`` in batches of at most ``ARROW_ROWS`` rows, a setting of the session."""
+    """``rows.mapInArrow`` in batches of at most ``ARROW_ROWS`` rows, a setting of the session.
+
+    After each batch Arrow gives back what it no longer uses: a Python worker outlives its tasks, and the stages after
+    them would find the memory taken.
+    """
+
+    def returned(batches):
+        for batch in batches:
+            yield batch
+            del batch
+            pa.default_memory_pool().release_unused()
+
     rows.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
-    return rows.mapInArrow(task, schema)
+    return rows.mapInArrow(lambda batches: task(returned(batches)), schema)
 
 
 def _slot(cols: list[Column], bits: int) -> Column:

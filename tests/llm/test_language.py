@@ -82,3 +82,41 @@ def test_bounds_and_few_languages(spark, sample):
     assert {(r.lang_pred, r.score) for r in language.identify(sample.where("doc_id < 90"), one).collect()} == {("es", 1.0)}
     assert language.train(sample.limit(0)) == {}
     assert {r.lang_pred for r in language.identify(sample, {}).collect()} == {"und"}
+
+
+def test_vectors_are_sent_without_their_zeros():
+    """They come back bit by bit, with a one at the end, and the models are those of the whole vectors."""
+    rng = np.random.default_rng(3)
+    x = (rng.random((40, language.DIMS)) * (rng.random((40, language.DIMS)) < 0.1)).astype(np.float32)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    x[0], x[1] = 0, 1 / 64
+    packed = [language._packed(v) for v in x]
+    assert len(packed[0]) == language.DIMS // 8 and max(map(len, packed[2:])) < language.DIMS
+    whole = language._with_ones(packed)
+    assert whole.dtype == np.float32 and np.array_equal(whole[:, :-1], x) and (whole[:, -1] == 1).all()
+    y = np.arange(40) % 2 == 0
+    (weights, bias), (same, other) = language.fit_svm(x, y), language._fit(whole, y)
+    assert np.array_equal(weights, same) and bias == other
+
+
+def test_memory_of_arrow_is_returned_after_each_batch(spark):
+    from skyledger.llm.tables import map_arrow
+
+    def task(batches):
+        import pyarrow as pa
+
+        freed, pool = [], pa.default_memory_pool()
+
+        class Pool:
+            def release_unused(self):
+                freed.append(pool.bytes_allocated())
+
+        pa.default_memory_pool = Pool
+        try:
+            rows = sum(b.num_rows for b in batches)
+        finally:
+            pa.default_memory_pool = lambda: pool
+        yield pa.RecordBatch.from_arrays([pa.array([rows]), pa.array([len(freed)])], names=["rows", "freed"])
+
+    got = map_arrow(spark.range(0, 2500, 1, 1), task, "rows long, freed long").collect()
+    assert [(r.rows, r.freed) for r in got] == [(2500, 3)]
