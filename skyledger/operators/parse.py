@@ -38,12 +38,16 @@ def parse_payloads(messages: DataFrame, fields: T.StructType, value: str = "valu
     member = F.concat(F.lit('{"whole":'), F.col("raw_payload"), F.lit("}"))
     checked = F.from_json(member, "whole STRING, broken STRING", {**STRICT_JSON, "columnNameOfCorruptRecord": "broken"})
     # Spark's parser also takes +INF, -INF, INF and +Infinity as numbers; outside strings they are no JSON.
-    foreign = r"\+I|INF"
-    is_foreign = F.col("raw_payload").rlike(foreign) & outside.rlike(foreign)
+    is_foreign = _holds("raw_payload", "+I", "INF") & outside.rlike(r"\+I|INF")
     is_one = ~is_foreign & (F.size("objects") == 1) & (~F.col("raw_payload").contains("]") | checked["broken"].isNull())
     return parsed.select("raw_payload", F.when(is_one, F.col("objects")[0]).alias("message"))
 
 
+def _holds(name: str, first: str, second: str) -> Column:
+    """Whether the text holds one of two words: on its bytes as they are, where a pattern would decode every payload."""
+    return F.col(name).contains(first) | F.col(name).contains(second)
+
+
 def _with_numbers_for_booleans(objects: Column, outside: Column, fields: T.StructType) -> Column:
     """JSON's true and false count as 1.0 and 0.0 in measures; the texts "true" and "false" do not.
 
@@ -53,7 +57,6 @@ def _with_numbers_for_booleans(objects: Column, outside: Column, fields: T.Struc
     measures = [name for name in fields.fieldNames() if name in MEASURES]
     if not measures:
         return objects
-    words = r"true|false"
 
     def numbered(message: Column, typed: Column) -> Column:
         def field(name: str) -> Column:
@@ -63,5 +66,5 @@ def _with_numbers_for_booleans(objects: Column, outside: Column, fields: T.Struc
 
         return F.struct(*[(field(name) if name in measures else message[name]).alias(name) for name in fields.fieldNames()])
 
-    has_words = F.col("raw_payload").rlike(words) & outside.rlike(words)
+    has_words = _holds("raw_payload", "true", "false") & outside.rlike("true|false")
     return F.when(has_words & (F.size(objects) == 1), F.zip_with(objects, F.array(F.try_parse_json("raw_payload")), numbered)).otherwise(objects)
