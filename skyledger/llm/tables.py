@@ -22,9 +22,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def stage(df: DataFrame, purpose: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back: lost executors never repeat its work."""
-    path = shared_dir(df.sparkSession, purpose)
+def stage(df: DataFrame, purpose: str, folder: str | None = None) -> DataFrame:
+    """Write ``df`` to the shared folder, or as ``purpose`` into ``folder`` there, and read it back: lost executors never
+    repeat its work."""
+    path = f"{folder}/{purpose}" if folder else shared_dir(df.sparkSession, purpose)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
